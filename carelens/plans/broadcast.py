@@ -1,0 +1,22 @@
+"""Broadcast only what is proven small.
+
+``bounded_broadcast`` materialises a (typically aggregated) side with a
+``limit(max_rows + 1)`` job.  When it fits, the rows become a local relation
+that is broadcast explicitly — the big side is then joined map-side with no
+shuffle.  When it does not fit, the lazy DataFrame is returned unchanged and
+the planner falls back to a shuffle join (AQE may still convert it at run time).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

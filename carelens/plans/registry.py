@@ -53,3 +53,15 @@ register("q_billing_summary")(lambda s, d: billing.billing_summary(view(s, d)))
 register("q_billing_summary_filtered")(
     lambda s, d: billing.billing_summary(view(s, d), condition="Diabetes", age_group="31-45"))
 register("q_provider_compare")(lambda s, d: billing.provider_compare(view(s, d), "Diabetes"))
+
+# -- advanced analytics ---------------------------------------------------
+from ..operators import advanced  # noqa: E402
+from ..sources.adapter import claims as _claims  # noqa: E402
+
+register("q_billing_percentiles")(lambda s, d: advanced.order_stat_percentiles(view(s, d)))
+register("q_market_share")(lambda s, d: advanced.market_share(view(s, d)))
+register("q_outlier_summary")(lambda s, d: advanced.outlier_summary(view(s, d)))
+register("q_cost_efficiency")(lambda s, d: advanced.cost_efficiency(view(s, d)))
+register("q_readmission")(lambda s, d: advanced.readmission(_claims(s, d)))
+register("q_monthly_trend")(lambda s, d: advanced.monthly_trend(view(s, d)))
+register("q_cost_matrix")(lambda s, d: advanced.cost_matrix(view(s, d)))

@@ -90,3 +90,27 @@ def cpd_avg2(b: str = "BillingAmount", los: str = "LengthOfStay") -> str:
     n = f"COUNT(CASE WHEN {los} > 0 THEN 1 END)"
     a19 = _half_up(f"({s} * 10000)", n)
     return f"(CAST({_half_up(a19, 'CAST(100000000000000000 AS HUGEINT)')} AS DOUBLE) / 100)"
+
+
+def avg8(col: str) -> str:
+    """Spark's decimal(22,8) average of a decimal(18,4) column, as an integer in 1e-8 units."""
+    s = f"CAST(SUM({col}) * 10000 AS HUGEINT)"
+    return _half_up(f"({s} * 10000)", f"COUNT({col})")
+
+
+def cents_of8(a8: str) -> str:
+    """Round an integer in 1e-8 units to cents (integer)."""
+    return _half_up(a8, "1000000")
+
+
+def cpd_raw(b: str = "BillingAmount", los: str = "LengthOfStay") -> str:
+    """Unrounded Spark average of b / los (los > 0) as an integer in 1e-19 units."""
+    v15 = _half_up(f"(CAST({b} * 10000 AS HUGEINT) * CAST(100000000000 AS HUGEINT))", los)
+    s = f"SUM(CASE WHEN {los} > 0 THEN {v15} END)"
+    n = f"COUNT(CASE WHEN {los} > 0 THEN 1 END)"
+    return _half_up(f"({s} * 10000)", n)
+
+
+def pct1(num: str, den: str) -> str:
+    """round(100 * num / den, 1) exactly, for integers."""
+    return f"(CAST({_half_up(f'(CAST({num} AS HUGEINT) * 1000)', den)} AS DOUBLE) / 10)"
