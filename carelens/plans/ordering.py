@@ -116,13 +116,29 @@ def _semi(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
     return left.join(r, _keys_eq(left, r, cols, "r"), "left_semi")
 
 
-def dense_sequence(df: DataFrame, order_cols: Sequence[str], name: str,
-                   num_partitions: int | None = None) -> DataFrame:
-    """Number the distinct rows of ``df`` 1..n in ``order_cols`` order (a surrogate key).
+def number_rows(df: DataFrame, order_cols: Sequence[str], name: str,
+                num_partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = 1..n following ``order_cols`` (ties broken arbitrarily), all columns kept.
 
-    ``df`` must already be distinct on ``order_cols``.
+    Range partitioning spreads the rows in order over the partitions; the per-partition
+    counts (one small table) give each partition its starting number.  Never a
+    single-partition window over the data.
     """
-    ranged = ranged_counts(df, [], list(order_cols), num_partitions)
-    offs = partition_offsets(ranged, [])
-    cum = with_cumulative(ranged, offs, [], list(order_cols))
-    return cum.select(F.col("cum_incl").cast("long").alias(name), *order_cols)
+    ensure_checkpoint_dir(df.sparkSession)
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    n = _num_partitions(df, num_partitions)
+    ranged = (df.repartitionByRange(n, *order).withColumn(PID, F.spark_partition_id())
+                .checkpoint(eager=True))
+    counts = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias(PTOT))
+    w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    offs = _prefixed(counts.withColumn(OFF, F.coalesce(F.sum(PTOT).over(w), F.lit(0))), "o")
+    rn = F.row_number().over(Window.partitionBy(PID).orderBy(*order))
+    j = ranged.withColumn(RUN, rn).join(offs, F.col(PID) == F.col("o" + PID))
+    return j.select(*df.columns, (F.col("o" + OFF) + F.col(RUN)).cast("long").alias(name))
+
+
+def dense_sequence(df: DataFrame, order_cols: Sequence[str], name: str,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Surrogate key 1..n over the distinct values of ``order_cols``, in that order."""
+    return number_rows(df.select(*order_cols).distinct(), order_cols, name, num_partitions) \
+        .select(name, *order_cols)

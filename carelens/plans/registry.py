@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import billing, ranking
 from ..operators.view import enriched
@@ -65,3 +66,38 @@ register("q_cost_efficiency")(lambda s, d: advanced.cost_efficiency(view(s, d)))
 register("q_readmission")(lambda s, d: advanced.readmission(_claims(s, d)))
 register("q_monthly_trend")(lambda s, d: advanced.monthly_trend(view(s, d)))
 register("q_cost_matrix")(lambda s, d: advanced.cost_matrix(view(s, d)))
+
+# -- validation and ingest ------------------------------------------------
+import uuid  # noqa: E402
+
+from ..operators import validate as val  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources import files  # noqa: E402
+from ..sources.adapter import claims_raw  # noqa: E402
+
+
+def _validated(s, d, level="full"):
+    return val.validate(claims_raw(s, d), level=level)
+
+
+register("q_validate")(lambda s, d: val.as_strings(_validated(s, d)))
+register("q_validate_permissive")(lambda s, d: val.as_strings(_validated(s, d, "types")))
+register("q_rejects")(
+    lambda s, d: val.as_strings(val.split(_validated(s, d))[1]).select("claim_id", "errors", "error_count"))
+register("q_reject_summary")(lambda s, d: val.reject_summary(_validated(s, d)))
+register("q_first_errors")(
+    lambda s, d: val.first_errors(_validated(s, d)).select(
+        "claim_id", F.col("pos").cast("bigint").alias("pos"), "message"))
+register("q_constraint_audit")(
+    lambda s, d: val.constraint_audit(val.split(_validated(s, d, "types"))[0]))
+
+
+@register("q_csv_reject_summary")
+def _csv_reject_summary(s, d):
+    """Round trip through CSV: write the raw claims with the expected header into the
+    shared checkpoint folder, read them back with the declared string schema, number
+    the lines in file order, validate and summarise."""
+    path = f"{ensure_checkpoint_dir(s).rstrip('/')}/csv-{uuid.uuid4().hex[:12]}"
+    files.write_raw_csv(claims_raw(s, d), path)
+    raw = files.with_line_numbers(files.read_raw_csv(s, path))
+    return val.reject_summary(val.validate(raw, record_col="line"))
