@@ -101,3 +101,27 @@ def _csv_reject_summary(s, d):
     files.write_raw_csv(claims_raw(s, d), path)
     raw = files.with_line_numbers(files.read_raw_csv(s, path))
     return val.reject_summary(val.validate(raw, record_col="line"))
+
+# -- star schema ----------------------------------------------------------
+from ..operators import model  # noqa: E402
+
+for _dim, (_key, _src) in model.NAME_DIMENSIONS.items():
+    _qname = {"Doctor": "q_dim_doctor", "Hospital": "q_dim_hospital",
+              "InsuranceProvider": "q_dim_insurer", "Medication": "q_dim_medication"}[_dim]
+    register(_qname)(lambda s, d, _src=_src, _key=_key: model.dimension(_claims(s, d), _src, _key))
+register("q_dim_patient")(lambda s, d: model.patients(_claims(s, d)))
+register("q_dim_test")(lambda s, d: model.test_dimension(_claims(s, d)))
+register("q_admission_distinct")(
+    lambda s, d: model.admission_distinct(_claims(s, d)).withColumn(
+        "BillingAmount", F.col("BillingAmount").cast("double")))
+
+
+def _fact(s, d):
+    c = _claims(s, d)
+    dims = model.dimensions(c)
+    return model.build_fact(c, dims), dims
+
+
+register("q_fact")(lambda s, d: _fact(s, d)[0].withColumn(
+    "BillingAmount", F.col("BillingAmount").cast("double")))
+register("q_fk_audit")(lambda s, d: model.fk_audit(*_fact(s, d)))
