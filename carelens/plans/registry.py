@@ -125,3 +125,24 @@ def _fact(s, d):
 register("q_fact")(lambda s, d: _fact(s, d)[0].withColumn(
     "BillingAmount", F.col("BillingAmount").cast("double")))
 register("q_fk_audit")(lambda s, d: model.fk_audit(*_fact(s, d)))
+
+# -- data profile (over the permissive load, as the profiler reads staging) ----
+from ..operators import profile as prof  # noqa: E402
+
+
+def staging_loose(s, d):
+    """Staging as loaded with validation skipped: rows whose numbers parse."""
+    return val.split(val.validate(claims_raw(s, d), level="types"))[0].drop("claim_id")
+
+
+register("q_profile_overview")(lambda s, d: prof.profile_overview(staging_loose(s, d)))
+register("q_profile_completeness")(lambda s, d: prof.profile_completeness(staging_loose(s, d)))
+register("q_profile_cardinality")(lambda s, d: prof.profile_cardinality(staging_loose(s, d)))
+register("q_profile_categories")(lambda s, d: prof.profile_categories(staging_loose(s, d)))
+register("q_profile_billing")(lambda s, d: prof.profile_billing(staging_loose(s, d)))
+register("q_profile_percentiles")(lambda s, d: prof.profile_percentiles(staging_loose(s, d)))
+register("q_profile_outliers")(lambda s, d: prof.profile_outliers(staging_loose(s, d)))
+register("q_profile_age_groups")(lambda s, d: prof.profile_age_groups(staging_loose(s, d)))
+register("q_profile_los")(lambda s, d: prof.profile_los(staging_loose(s, d)))
+register("q_quality_checks")(lambda s, d: prof.quality_checks(staging_loose(s, d)))
+register("q_quality_score")(lambda s, d: prof.quality_score(prof.quality_checks(staging_loose(s, d))))
