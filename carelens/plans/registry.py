@@ -146,3 +146,24 @@ register("q_profile_age_groups")(lambda s, d: prof.profile_age_groups(staging_lo
 register("q_profile_los")(lambda s, d: prof.profile_los(staging_loose(s, d)))
 register("q_quality_checks")(lambda s, d: prof.quality_checks(staging_loose(s, d)))
 register("q_quality_score")(lambda s, d: prof.quality_score(prof.quality_checks(staging_loose(s, d))))
+
+# -- statistics -------------------------------------------------------------
+from ..operators import statistics as st  # noqa: E402
+
+
+def _moments(s, d, key="InsuranceProvider"):
+    return st.group_moments(_claims(s, d), key)
+
+
+register("q_group_moments")(lambda s, d: st.moments_report(_moments(s, d)))
+register("q_welch")(lambda s, d: st.welch(_moments(s, d)))
+register("q_welch_summary")(lambda s, d: st.welch_summary(st.welch(_moments(s, d))))
+register("q_confidence_intervals")(lambda s, d: st.confidence_intervals(_moments(s, d)))
+register("q_anova_provider")(lambda s, d: st.anova(_moments(s, d)))
+register("q_cohens_d")(lambda s, d: st.cohens_d(_moments(s, d)))
+register("q_anova_condition")(lambda s, d: st.anova(_moments(s, d, "MedicalCondition")))
+register("q_condition_ci")(
+    lambda s, d: st.confidence_intervals(_moments(s, d, "MedicalCondition"), "MedicalCondition"))
+register("q_welch_condition_filtered")(
+    lambda s, d: st.welch(st.group_moments(_claims(s, d), "InsuranceProvider",
+                                           where={"MedicalCondition": "Diabetes"})))
