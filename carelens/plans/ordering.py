@@ -84,7 +84,8 @@ def rank_lookup(df: DataFrame, group_cols: Sequence[str], value_col: str,
                 num_partitions: int | None = None) -> DataFrame:
     """Value at 1-based rank k of each group, for every (name, k) that ``targets(n)`` gives.
 
-    Returns (group..., target, k, value).  Ranks outside 1..n give no row.
+    Returns (group..., target, k, n, value) with n the group's row count.
+    Ranks outside 1..n give no row.
     """
     group_cols = list(group_cols)
     ranged = ranged_counts(df, group_cols, [value_col], num_partitions)
@@ -93,13 +94,13 @@ def rank_lookup(df: DataFrame, group_cols: Sequence[str], value_col: str,
     tgt = totals.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(name).alias("target"), k.cast("long").alias("k"))
         for name, k in targets(F.col("_n"))
-    ])).alias("_t")).select(*group_cols, "_t.target", "_t.k")
+    ])).alias("_t"), "_n").select(*group_cols, "_t.target", "_t.k", "_n")
     # locate the partition holding rank k: small x small
     o = _prefixed(offs, "o")
     tp = tgt.join(o, _keys_eq(tgt, o, group_cols, "o")
                   & (o["o" + OFF] < tgt["k"]) & (tgt["k"] <= o["o" + OFF] + o["o" + PTOT]))
     # at most #groups x #targets rows: materialise and broadcast (size-checked)
-    tp = bounded_broadcast(tp.select(*group_cols, "target", "k", F.col("o" + PID).alias(PID)))
+    tp = bounded_broadcast(tp.select(*group_cols, "target", "k", "_n", F.col("o" + PID).alias(PID)))
     # running counts only inside the partitions that hold a target
     hit = _semi(ranged, tp.select(*group_cols, PID).distinct(), group_cols + [PID])
     cum = with_cumulative(hit, offs, group_cols, [value_col])
@@ -108,7 +109,7 @@ def rank_lookup(df: DataFrame, group_cols: Sequence[str], value_col: str,
                  & (cum["cum_before"] < t["tk"]) & (t["tk"] <= cum["cum_incl"]))
     return m.select(*[F.col("t" + c).alias(c) for c in group_cols],
                     F.col("ttarget").alias("target"), F.col("tk").alias("k"),
-                    F.col(value_col).alias("value"))
+                    F.col("t_n").alias("n"), F.col(value_col).alias("value"))
 
 
 def _semi(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -142,3 +143,43 @@ def dense_sequence(df: DataFrame, order_cols: Sequence[str], name: str,
     """Surrogate key 1..n over the distinct values of ``order_cols``, in that order."""
     return number_rows(df.select(*order_cols).distinct(), order_cols, name, num_partitions) \
         .select(name, *order_cols)
+
+
+def interpolated_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                           ps: Sequence[tuple[str, str]]) -> DataFrame:
+    """Linear-interpolation quantiles (NumPy/pandas default) of the non-NULL values.
+
+    For q = p, position h = (n - 1)·p (0-based); the result is
+    x[floor(h)] + (h - floor(h))·(x[floor(h)+1] - x[floor(h)]).  ``ps`` holds
+    (name, decimal string); decimal inputs give exact decimal results.
+    Returns (group..., n, one column per name).
+    """
+    from decimal import Decimal
+
+    group_cols = list(group_cols)
+    data = df.where(F.col(value_col).isNotNull())
+
+    def pos(n, p):
+        return (n - 1) * F.lit(Decimal(p))
+
+    def targets(n):
+        out = []
+        for name, p in ps:
+            lo = F.floor(pos(n, p)).cast("long")
+            out.append((f"{name}__lo", lo + 1))
+            out.append((f"{name}__hi", F.least(lo + 2, n)))
+        return out
+
+    found = rank_lookup(data, group_cols, value_col, targets)
+    aggs = [F.first("n").alias("n")]
+    for name, _p in ps:
+        aggs.append(F.max(F.when(F.col("target") == f"{name}__lo", F.col("value"))).alias(f"{name}__lo"))
+        aggs.append(F.max(F.when(F.col("target") == f"{name}__hi", F.col("value"))).alias(f"{name}__hi"))
+    wide = found.groupBy(*group_cols).agg(*aggs)
+    cols = [*group_cols, "n"]
+    for name, p in ps:
+        h = pos(F.col("n"), p)
+        frac = h - F.floor(h)
+        lo, hi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
+        cols.append((lo + frac * (hi - lo)).alias(name))
+    return wide.select(*cols)

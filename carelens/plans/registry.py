@@ -167,3 +167,31 @@ register("q_condition_ci")(
 register("q_welch_condition_filtered")(
     lambda s, d: st.welch(st.group_moments(_claims(s, d), "InsuranceProvider",
                                            where={"MedicalCondition": "Diabetes"})))
+
+# -- exploratory analysis and dashboard calculations ----------------------
+from ..operators import eda, serving  # noqa: E402
+
+register("q_provider_stats")(lambda s, d: eda.group_stats(_claims(s, d)))
+register("q_describe")(lambda s, d: eda.describe(view(s, d)))
+register("q_provider_condition_matrix")(lambda s, d: eda.provider_condition_matrix(view(s, d)))
+register("q_los_by_condition")(lambda s, d: eda.los_by_condition(view(s, d)))
+register("q_cost_per_day_by_provider")(lambda s, d: eda.cost_per_day_by_provider(view(s, d)))
+register("q_flag_outliers")(lambda s, d: eda.flag_outliers(view(s, d)).select(
+    "MedicalCondition", "InsuranceProvider", "DateOfAdmission",
+    F.col("BillingAmount").cast("double").alias("BillingAmount"), "IsOutlier"))
+register("q_outlier_share")(lambda s, d: eda.outlier_share(view(s, d)))
+register("q_value_counts")(lambda s, d: eda.value_counts(_claims(s, d)))
+register("q_age_bins")(lambda s, d: eda.age_bins(_claims(s, d)))
+register("q_histogram")(lambda s, d: eda.histogram(_claims(s, d), "BillingAmount", 60))
+register("q_histogram_age")(lambda s, d: eda.histogram(_claims(s, d), "Age", 40))
+register("q_histogram_los")(lambda s, d: eda.histogram(view(s, d), "LengthOfStay", 30))
+register("q_boxplot")(lambda s, d: eda.boxplot_stats(_claims(s, d), "MedicalCondition"))
+register("q_boxplot_insurer")(lambda s, d: eda.boxplot_stats(_claims(s, d), "InsuranceProvider"))
+register("q_condition_mean_of_means")(
+    lambda s, d: serving.condition_mean_of_means(billing.billing_summary(view(s, d))))
+register("q_provider_best")(
+    lambda s, d: serving.provider_best(billing.provider_compare(view(s, d), "Diabetes")))
+register("q_enriched")(lambda s, d: view(s, d).withColumn(
+    "BillingAmount", F.col("BillingAmount").cast("double")))
+register("q_age_group")(lambda s, d: view(s, d).groupBy("AgeGroup").agg(
+    F.count(F.lit(1)).alias("n"), F.min("Age").alias("min_age"), F.max("Age").alias("max_age")))
