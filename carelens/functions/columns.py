@@ -49,9 +49,25 @@ def admission_month(d="DateOfAdmission") -> Column:
     return F.date_format(_c(d), "yyyy-MM")
 
 
+# The characters Python's str.strip() treats as whitespace
+# (str.isspace over the whole Unicode range), so trimming matches the reference.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+              "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+              "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(col) -> Column:
-    """Remove leading/trailing whitespace of any kind (``trim`` only drops spaces)."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    """Remove leading/trailing whitespace of any kind (plain ``trim`` only drops spaces).
+
+    Fast path: a value whose first and last characters are printable ASCII is
+    returned as is (two one-character substrings, no scan).  Otherwise the native
+    character-set ``TRIM(BOTH <whitespace> FROM x)`` runs — never a regex.
+    """
+    x = _c(col)
+    first, last = F.substring(x, 1, 1), F.substring(x, -1, 1)
+    edge = ((first <= F.lit(" ")) | (first >= F.lit("\x80"))
+            | (last <= F.lit(" ")) | (last >= F.lit("\x80")))
+    return F.when(edge, F.trim(x, F.lit(WHITESPACE))).otherwise(x)
 
 
 def money(col, scale: int = 2) -> Column:

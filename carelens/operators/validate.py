@@ -25,8 +25,12 @@ def _q(c: Column) -> Column:
 
 
 def parse_date(raw: Column) -> Column:
-    """'%Y-%m-%d' as strptime reads it: one- or two-digit month/day, no blanks."""
-    return F.when(raw.rlike(DATE_SHAPE), F.try_to_date(raw, "yyyy-M-d"))
+    """'%Y-%m-%d' as strptime reads it: one- or two-digit month/day, no blanks.
+
+    The shape is checked first, so the (fast) string→date cast sees only
+    'yyyy-[m]m-[d]d'; impossible dates such as 2023-02-30 become NULL.
+    """
+    return F.when(raw.rlike(DATE_SHAPE), raw.try_cast("date"))
 
 
 def _typed(raw: DataFrame) -> dict[str, Column]:
@@ -99,13 +103,21 @@ def validate(raw: DataFrame, level: str = "full", record_col: str = "claim_id")
 
     ``level="full"``: all thirteen checks; ``level="types"``: only numbers must parse.
     ``record_col`` (kept in front) is what the messages call the line.
+
+    Two projections: the typed values are computed once, then every rule reads
+    them by name (each typed value feeds its output column and up to three rules,
+    so Catalyst keeps the projections apart instead of inlining the expressions
+    into every message).
     """
     t = _typed(raw)
+    typed = raw.select(F.col(record_col), *[F.col(f"`{c}`") for c in EXPECTED_COLUMNS],
+                       *[t[c].alias(f"__{c}") for c in TYPED_COLUMNS])
+    tc = {c: F.col(f"__{c}") for c in TYPED_COLUMNS}
     line = F.col(record_col).cast("string")
-    rules = _rules_full(raw, t, line) if level == "full" else _rules_types(raw, t, line)
+    rules = _rules_full(typed, tc, line) if level == "full" else _rules_types(typed, tc, line)
     errors = F.filter(F.array(*rules), lambda e: e.isNotNull())
-    return raw.select(F.col(record_col), *[t[c].alias(c) for c in TYPED_COLUMNS],
-                      errors.alias("errors"))
+    return typed.select(F.col(record_col), *[tc[c].alias(c) for c in TYPED_COLUMNS],
+                        errors.alias("errors"))
 
 
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
