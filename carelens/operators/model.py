@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.ordering import dense_sequence, number_rows
+from ..plans.ordering import dense_sequence, dense_sequence_grouped, number_rows
 
 # dimension table → (key column, staging column)
 NAME_DIMENSIONS = {
@@ -48,8 +48,18 @@ def admission_distinct(claims: DataFrame) -> DataFrame:
                          "BillingAmount").distinct()
 
 
+def name_dimensions(claims: DataFrame) -> dict[str, DataFrame]:
+    """The four name dimensions keyed together: one stack → distinct → keyed pass."""
+    pairs = ", ".join(f"'{name}', `{src}`" for name, (_k, src) in NAME_DIMENSIONS.items())
+    stacked = claims.selectExpr(f"stack({len(NAME_DIMENSIONS)}, {pairs}) AS (dim, Name)") \
+                    .where(F.col("Name").isNotNull())
+    keyed = dense_sequence_grouped(stacked, "dim", ["Name"], "_key")
+    return {name: keyed.where(F.col("dim") == name).select(F.col("_key").alias(key), "Name")
+            for name, (key, _s) in NAME_DIMENSIONS.items()}
+
+
 def dimensions(claims: DataFrame) -> dict[str, DataFrame]:
-    dims = {name: dimension(claims, src, key) for name, (key, src) in NAME_DIMENSIONS.items()}
+    dims = name_dimensions(claims)
     dims["Patient"] = patients(claims)
     return dims
 

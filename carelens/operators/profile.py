@@ -65,20 +65,24 @@ def profile_completeness(claims: DataFrame) -> DataFrame:
 def profile_cardinality(claims: DataFrame, approx: bool = False) -> DataFrame:
     """Distinct non-NULL values per column and the cardinality class.
 
-    One stack → (column, value) → distinct → count; ``approx=True`` uses HyperLogLog
-    instead (``approx_count_distinct``) for very wide or very large tables.
+    One pass: stack to (column, value), count rows per (column, value) with a
+    partial aggregation, then per column the number of non-NULL groups is the
+    distinct count and the sum of the group sizes is the row count.
+    ``approx=True`` uses HyperLogLog (``approx_count_distinct``) instead.
     """
-    total = claims.count()  # one number, used as a literal below
-    pairs = _stack(claims, TYPED_COLUMNS).where(F.col("value").isNotNull())
+    pairs = _stack(claims, TYPED_COLUMNS)
     if approx:
-        dist = pairs.groupBy("column").agg(F.approx_count_distinct("value").alias("distinct_values"))
+        per = pairs.groupBy("column").agg(F.approx_count_distinct("value").alias("distinct_values"),
+                                          F.count(F.lit(1)).alias("_total"))
     else:
-        dist = pairs.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
+        per = (pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_cnt"))
+                    .groupBy("column").agg(F.count("value").alias("distinct_values"),
+                                           F.sum("_cnt").alias("_total")))
     names = claims.sparkSession.createDataFrame(
         [(i + 1, c) for i, c in enumerate(TYPED_COLUMNS)], "position int, column string")
-    j = names.join(dist, "column", "left")
+    j = names.join(per, "column", "left")
     d = F.coalesce(F.col("distinct_values"), F.lit(0))
-    ratio = d / F.lit(total) if total > 0 else F.lit(0.0)
+    ratio = F.when(F.col("_total") > 0, d / F.col("_total")).otherwise(F.lit(0.0))
     cls = (F.when(ratio > 0.9, "High (likely unique)").when(ratio > 0.1, "Medium")
             .when(d <= 10, "Low (categorical)").otherwise("Low-Medium"))
     return j.select("position", "column", d.cast("bigint").alias("distinct_values"),

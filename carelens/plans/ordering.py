@@ -183,3 +183,17 @@ def interpolated_quantiles(df: DataFrame, group_cols: Sequence[str], value_col:
         lo, hi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
         cols.append((lo + frac * (hi - lo)).alias(name))
     return wide.select(*cols)
+
+
+def dense_sequence_grouped(df: DataFrame, group_col: str, order_cols: Sequence[str],
+                           name: str, num_partitions: int | None = None) -> DataFrame:
+    """Per value of ``group_col``, number its distinct ``order_cols`` values 1..n in order.
+
+    Several small key spaces (e.g. four name dimensions) are keyed in one pass and
+    one range shuffle instead of one job each.
+    """
+    ranged = ranged_counts(df, [group_col], list(order_cols), num_partitions)
+    ones = ranged.withColumn(CNT, F.lit(1).cast("long"))
+    offs = partition_offsets(ones, [group_col])
+    cum = with_cumulative(ones, offs, [group_col], list(order_cols))
+    return cum.select(group_col, *order_cols, F.col("cum_incl").cast("long").alias(name))
