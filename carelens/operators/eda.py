@@ -143,8 +143,8 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     width = (hi - lo) / bins
     grid = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return (grid.join(counts, "bin", "left")
-                .select("bin", F.round(F.lit(lo) + F.col("bin") * F.lit(width), 4).alias("lower"),
-                        F.round(F.lit(lo) + (F.col("bin") + 1) * F.lit(width), 4).alias("upper"),
+                .select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
+                        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
                         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
                 .orderBy("bin"))
 

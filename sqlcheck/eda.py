@@ -104,8 +104,8 @@ cnt AS (SELECT CAST(least(floor((CAST({col} AS DOUBLE) - mm2.lo) * ({bins} / (mm
                COUNT(*) AS n
         FROM {src}, mm2 WHERE {col} IS NOT NULL GROUP BY 1),
 grid AS (SELECT range AS bin FROM range(0, {bins}))""", f"""
-SELECT grid.bin, round(mm2.lo + grid.bin * ((mm2.hi - mm2.lo) / {bins}), 4) AS lower,
-       round(mm2.lo + (grid.bin + 1) * ((mm2.hi - mm2.lo) / {bins}), 4) AS upper,
+SELECT grid.bin, mm2.lo + grid.bin * ((mm2.hi - mm2.lo) / {bins}) AS lower,
+       mm2.lo + (grid.bin + 1) * ((mm2.hi - mm2.lo) / {bins}) AS upper,
        COALESCE(cnt.n, 0) AS n
 FROM grid CROSS JOIN mm2 LEFT JOIN cnt ON cnt.bin = grid.bin"""
 
