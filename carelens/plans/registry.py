@@ -195,3 +195,15 @@ register("q_enriched")(lambda s, d: view(s, d).withColumn(
     "BillingAmount", F.col("BillingAmount").cast("double")))
 register("q_age_group")(lambda s, d: view(s, d).groupBy("AgeGroup").agg(
     F.count(F.lit(1)).alias("n"), F.min("Age").alias("min_age"), F.max("Age").alias("max_age")))
+
+
+@register("q_stream_reject_summary")
+def _stream_reject_summary(s, d):
+    """Incremental load: the raw claims land as CSV files in the shared checkpoint folder,
+    a Structured Streaming query (available-now trigger) validates them into staging and
+    rejects, and the summary is computed from what it wrote."""
+    from ..streaming.ingest import ingest_summary, run_ingest
+    root = f"{ensure_checkpoint_dir(s).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    files.write_raw_csv(claims_raw(s, d), f"{root}/landing")
+    run_ingest(s, f"{root}/landing", f"{root}/staging", f"{root}/rejects", f"{root}/_checkpoint")
+    return ingest_summary(s, f"{root}/staging", f"{root}/rejects")
