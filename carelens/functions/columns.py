@@ -87,3 +87,9 @@ def avg_money(col="BillingAmount", scale: int = 2) -> Column:
 def avg_int1(col) -> Column:
     """``ROUND(AVG(int), 1)`` with the average kept as an exact decimal (4 extra digits)."""
     return F.round(F.avg(_c(col).cast("decimal(20,0)")), 1).cast("double")
+
+
+def collated(col, collation: str | None = None) -> Column:
+    """Optionally compare/group a string column under a collation, e.g. ``UNICODE_CI_AI``
+    (case- and accent-insensitive, like the reference database's default)."""
+    return F.collate(_c(col), collation) if collation else _c(col)

@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import admission_month, avg_int1, avg_money, cost_per_day, money
+from ..functions.columns import admission_month, collated, avg_int1, avg_money, cost_per_day, money
 from ..plans.broadcast import bounded_broadcast
 from ..plans.ordering import rank_lookup
 
@@ -96,10 +96,12 @@ def cost_efficiency(v: DataFrame, min_claims: int = 10) -> DataFrame:
              .orderBy("MedicalCondition", "efficiency_rank"))
 
 
-def readmission(claims: DataFrame, limit: int = 20) -> DataFrame:
+def readmission(claims: DataFrame, limit: int = 20, collation: str | None = None) -> DataFrame:
     """Two-level aggregate: patients (Name) admitted more than once for the same
-    condition and insurer, then per (insurer, condition); top ``limit`` by patients."""
-    per_patient = (claims.groupBy("Name", "MedicalCondition", "InsuranceProvider")
+    condition and insurer, then per (insurer, condition); top ``limit`` by patients.
+    ``collation`` optionally groups names case/accent-insensitively."""
+    per_patient = (claims.groupBy(collated("Name", collation).alias("Name"), "MedicalCondition",
+                                  "InsuranceProvider")
                          .agg(F.count(F.lit(1)).alias("admission_count"))
                          .filter(F.col("admission_count") > 1))
     g = per_patient.groupBy("InsuranceProvider", "MedicalCondition").agg(

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import collated
 from ..plans.ordering import dense_sequence, dense_sequence_grouped, number_rows
 
 # dimension table → (key column, staging column)
@@ -25,9 +26,13 @@ FACT_ATTRS = ["DateOfAdmission", "RoomNumber", "AdmissionType", "DischargeDate",
               "MedicalCondition", "TestResults"]
 
 
-def dimension(claims: DataFrame, source_col: str, key: str) -> DataFrame:
-    """Distinct non-NULL values of one column, keyed 1..n in sorted order → (key, Name)."""
-    vals = claims.select(F.col(source_col).alias("Name")).where(F.col("Name").isNotNull())
+def dimension(claims: DataFrame, source_col: str, key: str, collation: str | None = None) -> DataFrame:
+    """Distinct non-NULL values of one column, keyed 1..n in sorted order → (key, Name).
+
+    With ``collation="UNICODE_CI_AI"`` values differing only in case or accents are one
+    member (the reference database's default collation behaves so).
+    """
+    vals = claims.select(collated(source_col, collation).alias("Name")).where(F.col("Name").isNotNull())
     return dense_sequence(vals, ["Name"], key)
 
 

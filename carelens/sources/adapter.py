@@ -91,6 +91,12 @@ def _typed_columns() -> dict[str, Column]:
     }
 
 
+def load_claims(spark: SparkSession, path: str) -> DataFrame:
+    """Staging as written by ``write_staging`` (parquet), with the declared schema."""
+    from ..schema import CLAIMS_SCHEMA
+    return spark.read.schema(CLAIMS_SCHEMA).parquet(path)
+
+
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed staging table (one row per line item), schema ``CLAIMS_SCHEMA``."""
     cols = _typed_columns()
