@@ -49,10 +49,21 @@ def _pick(values, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster only when the scan has fewer splits than
+    cores — e.g. a file written as a single row group, which Spark cannot split.
+    Large inputs have far more splits than cores and are left untouched (no shuffle).
+    The check is planning-only (no job)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate")
+        "l_extendedprice", "l_returnflag", "l_shipdate"))
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
