@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..plans.ordering import number_rows
+from ..plans.broadcast import bounded_broadcast
 from ..schema import CLAIMS_SCHEMA, EXPECTED_COLUMNS, RAW_SCHEMA
 
 CORRUPT = "_corrupt_record"
@@ -32,7 +33,7 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
     """
     if check:
         check_header(spark, path)
-    schema = RAW_SCHEMA.add(CORRUPT, "string")
+    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
     return (spark.read.schema(schema)
                  .option("header", True)
                  .option("enforceSchema", True)
@@ -45,16 +46,27 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
                  .csv(path))
 
 
-def with_line_numbers(raw: DataFrame, name: str = "line") -> DataFrame:
-    """Number records in file order starting at 2 (line 1 is the header).
+def with_line_numbers(raw: DataFrame, name: str = "line", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Number records in file order, per file, starting at 2 (line 1 is the header).
 
-    Distributed: ``monotonically_increasing_id`` follows split order within a file;
-    ``number_rows`` turns it into dense numbers via per-partition counts and offsets.
+    No shuffle of the data.  A CSV split is read in file order and Spark keeps the
+    splits of one file in offset order, so (partition id, position in partition)
+    orders the records of a file.  One scan counts records per (file, partition)
+    — a table of about one row per split — whose running sums give each split's
+    first line; the data is then joined to that table (broadcast when it is small).
     """
-    tagged = raw.withColumn("_file", F.col("_metadata.file_path")) \
-                .withColumn("_mono", F.monotonically_increasing_id())
-    numbered = number_rows(tagged, ["_file", "_mono"], "_n")
-    return numbered.withColumn(name, (F.col("_n") + 1).cast("long")).drop("_n", "_mono", "_file")
+    tagged = (raw.withColumn("_file", F.col("_metadata.file_path"))
+                 .withColumn("_pid", F.spark_partition_id())
+                 .withColumn("_pos", F.monotonically_increasing_id()))
+    per_split = tagged.groupBy("_file", "_pid").agg(F.count(F.lit(1)).alias("_cnt"),
+                                                   F.min("_pos").alias("_first"))
+    before = Window.partitionBy("_file").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_split.select("_file", "_pid", "_first",
+                               F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    offsets = bounded_broadcast(offsets, max_broadcast_rows)
+    j = tagged.join(offsets, ["_file", "_pid"])
+    line = F.col("_off") + (F.col("_pos") - F.col("_first")) + 2
+    return j.withColumn(name, line.cast("long")).drop("_file", "_pid", "_pos", "_first", "_off")
 
 
 def read_strict(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:

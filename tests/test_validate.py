@@ -172,3 +172,19 @@ def test_csv_read_validate_with_line_numbers(spark, tmp_dir):
     assert list(rows[2].errors) == [] and rows[2].Name == "Doe, Jane"
     assert list(rows[3].errors) == ["Line 3: Invalid age 'abc'"] and rows[3].Name == "Bob"
     assert len(rows[4].errors) >= 5  # missing fields are errors, not a crash
+
+
+def test_line_numbers_follow_file_order_across_splits(spark, tmp_dir):
+    from carelens.sources import files
+    p = f"{tmp_dir}/many.csv"
+    row = "N{i},{a},Male,A+,Asthma,2023-02-01,Dr. Y,H,Aetna,20,102,Urgent,2023-02-03,Lipitor,Abnormal\n"
+    with open(p, "w") as f:
+        f.write(HEADER + "".join(row.format(i=i, a=i % 100) for i in range(20000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        raw = files.read_raw_csv(spark, p)
+        assert raw.rdd.getNumPartitions() > 10
+        got = {r.Name: r.line for r in files.with_line_numbers(raw).select("Name", "line").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {f"N{i}": i + 2 for i in range(20000)}
