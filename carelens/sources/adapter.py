@@ -34,8 +34,24 @@ OTHER_RESULT = "Inconclusive"
 NATION_ROWS = 25  # TPC-H fixes the nation table at 25 rows
 
 
+# Declared column types of the source tables (only the columns the adapter reads).
+# With a declared schema the planner does not open file footers to infer one.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "part": "p_partkey bigint, p_type string, p_size int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in TABLE_SCHEMAS:
+        return spark.read.schema(TABLE_SCHEMAS[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def _lookup(col: Column, pairs, default: str) -> Column:
@@ -55,7 +71,8 @@ def spread(df: DataFrame) -> DataFrame:
     Large inputs have far more splits than cores and are left untouched (no shuffle).
     The check is planning-only (no job)."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    splits = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    if splits < target:
         return df.repartition(target)
     return df
 
