@@ -123,12 +123,16 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], name: str,
 
     Range partitioning spreads the rows in order over the partitions; the per-partition
     counts (one small table) give each partition its starting number.  Never a
-    single-partition window over the data.
+    single-partition window over the data.  A per-row id is the last range key, so
+    even a third of the rows being identical copies is spread over many partitions
+    (copies are interchangeable, so which copy gets which number does not matter).
     """
     ensure_checkpoint_dir(df.sparkSession)
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    tie = "_tie"
+    order = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col(tie).asc()]
     n = _num_partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *order).withColumn(PID, F.spark_partition_id())
+    ranged = (df.withColumn(tie, F.monotonically_increasing_id())
+                .repartitionByRange(n, *order).withColumn(PID, F.spark_partition_id())
                 .checkpoint(eager=True))
     counts = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias(PTOT))
     w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)

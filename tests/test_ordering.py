@@ -87,3 +87,12 @@ def test_dense_sequence_grouped(spark):
     df = spark.createDataFrame(rows, "dim string, Name string")
     got = {(r.dim, r.Name): r.k for r in dense_sequence_grouped(df, "dim", ["Name"], "k", 4).collect()}
     assert got == {("a", "b"): 1, ("a", "x"): 2, ("a", "y"): 3, ("b", "a"): 1, ("b", "z"): 2}
+
+
+def test_number_rows_with_many_identical_copies(spark):
+    rows = [(1,)] * 3000 + [(v,) for v in range(2, 1002)]
+    df = spark.createDataFrame(rows, "v int")
+    got = number_rows(df, ["v"], "rn", num_partitions=8).collect()
+    assert sorted(r.rn for r in got) == list(range(1, 4001))
+    assert all(r.v == 1 for r in got if r.rn <= 3000)
+    assert all(r.v == r.rn - 2999 + 1 for r in got if r.rn > 3000)
