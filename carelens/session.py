@@ -38,14 +38,17 @@ def get_spark(master: str | None = None, app: str = "carelens",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint directory of the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that is
     used as is.  Only when nothing is configured *and* the master is local
     (tests) do we create a private folder under /tmp.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: the server's setting applies)
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

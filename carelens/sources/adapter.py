@@ -70,8 +70,11 @@ def spread(df: DataFrame) -> DataFrame:
     cores — e.g. a file written as a single row group, which Spark cannot split.
     Large inputs have far more splits than cores and are left untouched (no shuffle).
     The check is planning-only (no job)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    except Exception:  # noqa: BLE001  (no JVM handle, e.g. a Spark Connect session)
+        return df
     if splits < target:
         return df.repartition(target)
     return df
