@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import collated
+from ..plans.broadcast import bounded_broadcast
 from ..plans.ordering import dense_sequence, dense_sequence_grouped, number_rows
 
 # dimension table → (key column, staging column)
@@ -64,22 +65,40 @@ def name_dimensions(claims: DataFrame) -> dict[str, DataFrame]:
 
 
 def dimensions(claims: DataFrame) -> dict[str, DataFrame]:
-    dims = name_dimensions(claims)
-    dims["Patient"] = patients(claims)
+    """All five dimensions from one pass over the claims.
+
+    Each dimension contributes (dim, k1..k4) rows — a name dimension its value and
+    three NULLs, Patient its four columns — and one grouped numbering keys them all
+    in their sort order (NULLs first, so a name dimension orders by name).
+    """
+    parts = [f"'{name}', `{src}`, CAST(NULL AS INT), CAST(NULL AS STRING), CAST(NULL AS STRING)"
+             for name, (_k, src) in NAME_DIMENSIONS.items()]
+    parts.append("'Patient', Name, Age, Gender, BloodType")
+    stacked = claims.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) AS (dim, k1, k2, k3, k4)") \
+                    .where(F.col("k1").isNotNull())
+    # all keyed members in one size-checked fetch when they are few (one job instead of five)
+    keyed = bounded_broadcast(dense_sequence_grouped(stacked, "dim", ["k1", "k2", "k3", "k4"], "_key"))
+    dims = {name: keyed.where(F.col("dim") == name).select(F.col("_key").alias(key), F.col("k1").alias("Name"))
+            for name, (key, _s) in NAME_DIMENSIONS.items()}
+    dims["Patient"] = keyed.where(F.col("dim") == "Patient").select(
+        F.col("_key").alias("PatientID"), F.col("k1").alias("Name"), F.col("k2").alias("Age"),
+        F.col("k3").alias("Gender"), F.col("k4").alias("BloodType"))
     return dims
 
 
-def build_fact(claims: DataFrame, dims: dict[str, DataFrame], with_id: bool = True) -> DataFrame:
+def build_fact(claims: DataFrame, dims: dict[str, DataFrame], with_id: bool = True,
+               max_broadcast_rows: int = 100_000) -> DataFrame:
     """Admission fact: staging inner-joined to the five dimensions.
 
     Patient is matched on four columns (equality, so a NULL key drops the row, as in
-    SQL).  The name dimensions are joined on their value; the planner broadcasts
-    them when their statistics are below the broadcast threshold and AQE converts
-    at run time otherwise — nothing here assumes a dimension is small.
+    SQL).  Each dimension goes through a size check: up to ``max_broadcast_rows`` it
+    is broadcast and the claims stream through all five joins without a shuffle;
+    a larger dimension (patients at scale) is joined by shuffle, with AQE splitting
+    skewed keys.  Nothing here assumes a dimension is small.
     """
-    f = claims.join(dims["Patient"], PATIENT_KEYS, "inner")
+    f = claims.join(bounded_broadcast(dims["Patient"], max_broadcast_rows), PATIENT_KEYS, "inner")
     for name, (key, src) in NAME_DIMENSIONS.items():
-        d = dims[name].withColumnRenamed("Name", src)
+        d = bounded_broadcast(dims[name], max_broadcast_rows).withColumnRenamed("Name", src)
         f = f.join(d, src, "inner")
     fact = f.select("PatientID", "DoctorID", "HospitalID", "InsuranceID", "MedicationID", *FACT_ATTRS)
     if not with_id:

@@ -120,7 +120,8 @@ def kth_values(df: DataFrame, col: str, offsets=_profile_offsets) -> DataFrame:
 
     Long form (percentile, offset, value); an empty table gives no rows.
     """
-    found = rank_lookup(df.select(col), [], col,
+    # the whole table is one group: every join inside rank_lookup keeps an equality key
+    found = rank_lookup(df.select(F.lit("all").alias("_scope"), col), ["_scope"], col,
                         lambda n: [(name, k + 1) for name, k in offsets(n)])
     return found.select(F.col("target").alias("percentile"), (F.col("k") - 1).alias("offset"),
                         F.col("value").cast("double").alias("value"))
