@@ -18,6 +18,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     rows = df.collect()
     if name not in ORACLE:
         assert len(df.columns) > 0
