@@ -8,14 +8,14 @@ grouped aggregation.
 
 from __future__ import annotations
 
-from decimal import Decimal
+from decimal import ROUND_FLOOR, Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_group, avg_int1, avg_money, length_of_stay, money
 from ..plans.ordering import rank_lookup
-from ..schema import ADMISSION_TYPES, BLOOD_TYPES, GENDERS, TEXT_COLUMNS, TYPED_COLUMNS
+from ..schema import MONEY, ADMISSION_TYPES, BLOOD_TYPES, GENDERS, TEXT_COLUMNS, TYPED_COLUMNS
 
 CATEGORICALS = ["Gender", "BloodType", "MedicalCondition", "AdmissionType", "InsuranceProvider",
                 "TestResults"]
@@ -143,9 +143,17 @@ def profile_outliers(claims: DataFrame) -> DataFrame:
     else:
         mean, sd = float(m["mean"]), float(m["stddev"] or 0.0)
     t2, t3 = mean + 2 * sd, mean + 3 * sd
-    b = F.col("BillingAmount").cast("double")
-    return claims.agg(F.count_if(b > F.lit(t2)).alias("outliers_2sd"),
-                      F.count_if(b > F.lit(t3)).alias("outliers_3sd")).select(
+    b = F.col("BillingAmount")
+
+    def above(t: float):
+        # b has 4 decimals, so b > t exactly when b > t floored to 4 decimals; a literal of
+        # the column's own type keeps the predicate pushable into the parquet reader.
+        g = Decimal(t).quantize(Decimal("0.0001"), rounding=ROUND_FLOOR)
+        return b > F.lit(g).cast(MONEY)
+
+    # rows above 3σ are a subset of those above 2σ: one filtered pass counts both
+    return claims.where(above(t2)).agg(F.count(F.lit(1)).alias("outliers_2sd"),
+                                       F.count_if(above(t3)).alias("outliers_3sd")).select(
         F.lit(mean).alias("mean"), F.lit(sd).alias("stddev"),
         F.round(F.lit(t2), 2).alias("threshold_2sd"), "outliers_2sd",
         F.round(F.lit(t3), 2).alias("threshold_3sd"), "outliers_3sd")
