@@ -29,10 +29,12 @@ from .broadcast import bounded_broadcast
 CNT, PID, OFF, PTOT, RUN = "_cnt", "_pid", "_off", "_ptot", "_run"
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range(df: DataFrame, order, num_partitions: int | None) -> DataFrame:
+    """Range-partition; without an explicit count AQE may merge adjacent ranges of a
+    small input (merged partitions stay in key order, so partition ids remain ordered)."""
+    if num_partitions:
+        return df.repartitionByRange(num_partitions, *order)
+    return df.repartitionByRange(*order)
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -53,8 +55,7 @@ def ranged_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     ensure_checkpoint_dir(df.sparkSession)
     keys = list(group_cols) + list(order_cols)
     vc = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(CNT))
-    n = _num_partitions(df, num_partitions)
-    ranged = vc.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
+    ranged = _range(vc, [F.col(k).asc_nulls_first() for k in keys], num_partitions)
     return ranged.withColumn(PID, F.spark_partition_id()).checkpoint(eager=True)
 
 
@@ -130,10 +131,8 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], name: str,
     ensure_checkpoint_dir(df.sparkSession)
     tie = "_tie"
     order = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col(tie).asc()]
-    n = _num_partitions(df, num_partitions)
-    ranged = (df.withColumn(tie, F.monotonically_increasing_id())
-                .repartitionByRange(n, *order).withColumn(PID, F.spark_partition_id())
-                .checkpoint(eager=True))
+    ranged = (_range(df.withColumn(tie, F.monotonically_increasing_id()), order, num_partitions)
+                .withColumn(PID, F.spark_partition_id()).checkpoint(eager=True))
     counts = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias(PTOT))
     w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offs = _prefixed(counts.withColumn(OFF, F.coalesce(F.sum(PTOT).over(w), F.lit(0))), "o")
