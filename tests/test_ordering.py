@@ -96,3 +96,27 @@ def test_number_rows_with_many_identical_copies(spark):
     assert sorted(r.rn for r in got) == list(range(1, 4001))
     assert all(r.v == 1 for r in got if r.rn <= 3000)
     assert all(r.v == r.rn - 2999 for r in got if r.rn > 3000)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                          st.one_of(st.none(), st.integers(min_value=-50, max_value=50))),
+                min_size=1, max_size=120),
+       st.lists(st.integers(min_value=1, max_value=130), min_size=1, max_size=5))
+def test_rank_lookup_property(spark, rows, ks):
+    df = spark.createDataFrame([(g, None if v is None else Decimal(v)) for g, v in rows],
+                               "g string, x decimal(18,4)")
+    got = rank_lookup(df, ["g"], "x", lambda n: [(f"k{i}", F.lit(k)) for i, k in enumerate(ks)],
+                      num_partitions=3)
+    got = {(r.g, r.target): r.value for r in got.collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        vals = sorted((r[1] for r in rows if r[0] == g), key=lambda v: (v is not None, v or 0))
+        for i, k in enumerate(ks):
+            if k <= len(vals):
+                want[(g, f"k{i}")] = None if vals[k - 1] is None else Decimal(vals[k - 1])
+    assert got == want
