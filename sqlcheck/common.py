@@ -42,7 +42,7 @@ VIEW = """
 v AS (
   SELECT Age, Gender, BloodType, MedicalCondition, DateOfAdmission, Hospital, InsuranceProvider,
          BillingAmount, RoomNumber, AdmissionType, DischargeDate, Medication, TestResults,
-         datediff('day', DateOfAdmission, DischargeDate) AS LengthOfStay,
+         CAST(datediff('day', DateOfAdmission, DischargeDate) AS INTEGER) AS LengthOfStay,
          """ + AGE_GROUP.format(a="Age") + """ AS AgeGroup
   FROM claims
 )"""

@@ -83,7 +83,7 @@ ORACLE["q_profile_age_groups"] = w() + f"""
 SELECT {AGE_GROUP.format(a='Age')} AS AgeGroup, COUNT(*) AS n, {avg2()} AS avg_billing
 FROM stg GROUP BY 1"""
 
-_LOS = "datediff('day', DateOfAdmission, DischargeDate)"
+_LOS = "CAST(datediff('day', DateOfAdmission, DischargeDate) AS INTEGER)"
 ORACLE["q_profile_los"] = w() + f"""
 SELECT {avg1_int(_LOS)} AS avg_stay, MIN({_LOS}) AS min_stay, MAX({_LOS}) AS max_stay,
        COUNT(*) FILTER (WHERE {_LOS} = 0) AS same_day, COUNT(*) FILTER (WHERE {_LOS} > 30) AS over_30_days
