@@ -104,3 +104,27 @@ SELECT round(fs.f, 4) AS f_stat, round(greatest(0.0, 1 - fi.area), 6) AS p_value
 FROM fs, f_int fi"""
 ORACLE["q_anova_provider"] = with_claims(_P, ANOVA, view=False) + _ANOVA_OUT
 ORACLE["q_anova_condition"] = with_claims(_C, ANOVA, view=False) + _ANOVA_OUT
+
+
+# 95 % CI: t(0.975, n-1) by the Cornish-Fisher expansion of the t quantile around the normal
+# quantile z (terms to 1/df^4; error far below the 2-decimal rounding for df in the hundreds).
+Z975 = "CAST(1.959963984540054 AS DOUBLE)"
+
+
+def _t975(df: str) -> str:
+    z = Z975
+    return (f"({z} + ({z}^3 + {z}) / 4 / {df} + (5*{z}^5 + 16*{z}^3 + 3*{z}) / 96 / ({df})^2"
+            f" + (3*{z}^7 + 19*{z}^5 + 17*{z}^3 - 15*{z}) / 384 / ({df})^3"
+            f" + (79*{z}^9 + 776*{z}^7 + 1482*{z}^5 - 1920*{z}^3 - 945*{z}) / 92160 / ({df})^4)")
+
+
+def _ci(key: str) -> str:
+    m = f"({_t975('(n - 1)')} * sqrt(var / n))"
+    return f"""
+SELECT g AS {key}, n, round(mean, 2) AS mean, round(mean - {m}, 2) AS ci_lower,
+       round(mean + {m}, 2) AS ci_upper, round({m}, 2) AS margin
+FROM mo"""
+
+
+ORACLE["q_confidence_intervals"] = with_claims(_P, view=False) + _ci("InsuranceProvider")
+ORACLE["q_condition_ci"] = with_claims(_C, view=False) + _ci("MedicalCondition")
