@@ -151,21 +151,25 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, key: str = "MedicalCondition", col: str = "BillingAmount") -> DataFrame:
     """Quartiles, IQR, whiskers at the most extreme points within 1.5·IQR, flier count;
-    groups ordered by median."""
-    q = interpolated_quantiles(df.select(key, col), [key], col, QUARTILES)
+    groups ordered by median.
+
+    The quartile step leaves a checkpointed table of distinct (group, value, count);
+    whiskers and fliers are read from it, so the claims are scanned once.
+    """
+    q, counts = interpolated_quantiles(df.select(key, col), [key], col, QUARTILES, with_counts=True)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("_lo", F.col("q1") - F.lit(Decimal("1.5")) * F.col("iqr")) \
          .withColumn("_hi", F.col("q3") + F.lit(Decimal("1.5")) * F.col("iqr"))
     fences = bounded_broadcast(q)
     x = F.col(col)
-    j = df.where(x.isNotNull()).join(fences, key)
-    # No value lies in [fence, whisker), so a flier is exactly a value outside the fences:
-    # whiskers and fliers come from the same single pass.
+    j = counts.join(fences, key)
+    # No value lies in [fence, whisker), so a flier is exactly a value outside the fences.
     out = j.groupBy(key).agg(
         F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
         F.first("q3").alias("q3"), F.first("iqr").alias("iqr"),
         F.min(F.when(x >= F.col("_lo"), x)).alias("whislo"),
         F.max(F.when(x <= F.col("_hi"), x)).alias("whishi"),
-        F.count_if((x < F.col("_lo")) | (x > F.col("_hi"))).alias("fliers"))
+        F.coalesce(F.sum(F.when((x < F.col("_lo")) | (x > F.col("_hi")), F.col("_cnt"))),
+                   F.lit(0)).cast("bigint").alias("fliers"))
     return out.select(key, "n", *[money(c, 4).alias(c) for c in ["q1", "median", "q3", "iqr", "whislo", "whishi"]],
                       "fliers").orderBy("median", key)

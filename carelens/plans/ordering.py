@@ -82,11 +82,13 @@ def with_cumulative(ranged: DataFrame, offsets: DataFrame, group_cols: Sequence[
 
 def rank_lookup(df: DataFrame, group_cols: Sequence[str], value_col: str,
                 targets: Callable[[Column], list[tuple[str, Column]]],
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, with_counts: bool = False):
     """Value at 1-based rank k of each group, for every (name, k) that ``targets(n)`` gives.
 
     Returns (group..., target, k, n, value) with n the group's row count.
-    Ranks outside 1..n give no row.
+    Ranks outside 1..n give no row.  ``with_counts=True`` also returns the checkpointed
+    distinct (group, value, _cnt) table, which later steps can reuse instead of
+    scanning the input again.
     """
     group_cols = list(group_cols)
     ranged = ranged_counts(df, group_cols, [value_col], num_partitions)
@@ -108,9 +110,10 @@ def rank_lookup(df: DataFrame, group_cols: Sequence[str], value_col: str,
     t = _prefixed(tp, "t")
     m = cum.join(t, _keys_eq(cum, t, group_cols + [PID], "t")
                  & (cum["cum_before"] < t["tk"]) & (t["tk"] <= cum["cum_incl"]))
-    return m.select(*[F.col("t" + c).alias(c) for c in group_cols],
-                    F.col("ttarget").alias("target"), F.col("tk").alias("k"),
-                    F.col("t_n").alias("n"), F.col(value_col).alias("value"))
+    found = m.select(*[F.col("t" + c).alias(c) for c in group_cols],
+                     F.col("ttarget").alias("target"), F.col("tk").alias("k"),
+                     F.col("t_n").alias("n"), F.col(value_col).alias("value"))
+    return (found, ranged.select(*group_cols, value_col, CNT)) if with_counts else found
 
 
 def _semi(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -149,13 +152,14 @@ def dense_sequence(df: DataFrame, order_cols: Sequence[str], name: str,
 
 
 def interpolated_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                           ps: Sequence[tuple[str, str]]) -> DataFrame:
+                           ps: Sequence[tuple[str, str]], with_counts: bool = False):
     """Linear-interpolation quantiles (NumPy/pandas default) of the non-NULL values.
 
     For q = p, position h = (n - 1)·p (0-based); the result is
     x[floor(h)] + (h - floor(h))·(x[floor(h)+1] - x[floor(h)]).  ``ps`` holds
     (name, decimal string); decimal inputs give exact decimal results.
-    Returns (group..., n, one column per name).
+    Returns (group..., n, one column per name); with ``with_counts`` also the distinct
+    (group, value, _cnt) table (see ``rank_lookup``).
     """
     from decimal import Decimal
 
@@ -173,7 +177,7 @@ def interpolated_quantiles(df: DataFrame, group_cols: Sequence[str], value_col:
             out.append((f"{name}__hi", F.least(lo + 2, n)))
         return out
 
-    found = rank_lookup(data, group_cols, value_col, targets)
+    found, counts = rank_lookup(data, group_cols, value_col, targets, with_counts=True)
     aggs = [F.first("n").alias("n")]
     for name, _p in ps:
         aggs.append(F.max(F.when(F.col("target") == f"{name}__lo", F.col("value"))).alias(f"{name}__lo"))
@@ -185,7 +189,8 @@ def interpolated_quantiles(df: DataFrame, group_cols: Sequence[str], value_col:
         frac = h - F.floor(h)
         lo, hi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
         cols.append((lo + frac * (hi - lo)).alias(name))
-    return wide.select(*cols)
+    out = wide.select(*cols)
+    return (out, counts) if with_counts else out
 
 
 def dense_sequence_grouped(df: DataFrame, group_col: str, order_cols: Sequence[str],
