@@ -13,7 +13,7 @@ from decimal import ROUND_FLOOR, Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import age_group, avg_int1, avg_money, length_of_stay, money
+from ..functions.columns import age_group, avg_int1, avg_money, length_of_stay
 from ..plans.ordering import rank_lookup
 from ..schema import MONEY, ADMISSION_TYPES, BLOOD_TYPES, GENDERS, TEXT_COLUMNS, TYPED_COLUMNS
 
@@ -204,7 +204,3 @@ def quality_score(checks: DataFrame) -> DataFrame:
     total = F.count(F.lit(1))
     return checks.agg(passed.alias("checks_passed"), total.alias("checks_total"),
                       F.round(passed * 100.0 / total, 0).cast("bigint").alias("score_pct"))
-
-
-__all__ = [n for n in dir() if n.startswith("profile_")] + ["quality_checks", "quality_score",
-                                                             "kth_values", "money"]

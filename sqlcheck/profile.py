@@ -1,6 +1,6 @@
 """Oracle SQL for the profile sections (over the permissive load)."""
 
-from .common import AGE_GROUP, avg1_int, avg2, money2, pct1, with_claims
+from .common import AGE_GROUP, avg1_int, avg2, pct1, with_claims
 from .validation import RAW, TYPED, VALIDATED_TYPES
 
 STG = """
@@ -108,4 +108,3 @@ ORACLE["q_quality_score"] = w(CHECKS) + """
 SELECT COUNT(*) FILTER (WHERE violations = 0) AS checks_passed, COUNT(*) AS checks_total,
        CAST(round(COUNT(*) FILTER (WHERE violations = 0) * 100.0 / COUNT(*), 0) AS BIGINT) AS score_pct
 FROM checks"""
-_ = money2
