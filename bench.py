@@ -1,7 +1,8 @@
 """Benchmark the headline queries.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query, default 3).  Every query is executed to the
+BENCH_RUNS (timed runs per query, default 3), BENCH_EVENT_LOG_DIR (optional: write
+Spark's event log there for stage and task timings).  Every query is executed to the
 end with the no-op sink (no result is pulled to the driver); one warm-up run,
 then the median of the timed runs.  Prints one JSON line.
 """
@@ -30,8 +31,10 @@ def main() -> None:
     from carelens.session import get_spark
     from carelens.plans.registry import REGISTRY
 
-    spark = get_spark(f"local[{cpus}]", app="carelens-bench", shuffle_partitions=max(8, 2 * cpus),
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = get_spark(f"local[{cpus}]", app="carelens-bench", shuffle_partitions=max(8, 2 * cpus), extra=extra)
 
     def run(name: str) -> float:
         t0 = time.perf_counter()

@@ -42,3 +42,11 @@ def test_case_insensitive_dimension(spark):
     df = spark.createDataFrame([("Dr. Smith",), ("DR. SMITH",), ("Dr. Jones",)], "Doctor string")
     assert model.dimension(df, "Doctor", "DoctorID").count() == 3
     assert model.dimension(df, "Doctor", "DoctorID", collation="UNICODE_CI_AI").count() == 2
+
+
+def test_spread_only_when_the_scan_has_few_splits(spark, tmp_dir):
+    from carelens.sources.adapter import spread
+    one_split = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert spread(one_split).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100_000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread(many) is many  # enough splits: plan unchanged, no shuffle added
