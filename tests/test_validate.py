@@ -188,3 +188,10 @@ def test_line_numbers_follow_file_order_across_splits(spark, tmp_dir):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == {f"N{i}": i + 2 for i in range(20000)}
+
+
+def test_strip_matches_python_strip(spark):
+    from carelens.functions.columns import strip_ws
+    vals = [" Jane ", "Émile", "  Bob\t", "x", "", "　Zoë ", " \x01a ", " b ", "\n"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    assert [r[0] for r in df.select(strip_ws("v")).collect()] == [v.strip() for v in vals]
