@@ -92,12 +92,20 @@ register("q_constraint_audit")(
     lambda s, d: val.constraint_audit(val.split(_validated(s, d, "types"))[0]))
 
 
+def _shared_folder(s) -> str:
+    """The cluster's shared checkpoint folder (where these queries stage their files)."""
+    root = ensure_checkpoint_dir(s)
+    if not root:
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+    return root.rstrip("/")
+
+
 @register("q_csv_reject_summary")
 def _csv_reject_summary(s, d):
     """Round trip through CSV: write the raw claims with the expected header into the
     shared checkpoint folder, read them back with the declared string schema, number
     the lines in file order, validate and summarise."""
-    path = f"{ensure_checkpoint_dir(s).rstrip('/')}/csv-{uuid.uuid4().hex[:12]}"
+    path = f"{_shared_folder(s)}/csv-{uuid.uuid4().hex[:12]}"
     files.write_raw_csv(claims_raw(s, d), path)
     raw = files.with_line_numbers(files.read_raw_csv(s, path))
     return val.reject_summary(val.validate(raw, record_col="line"))
@@ -203,7 +211,7 @@ def _stream_reject_summary(s, d):
     a Structured Streaming query (available-now trigger) validates them into staging and
     rejects, and the summary is computed from what it wrote."""
     from ..streaming.ingest import ingest_summary, run_ingest
-    root = f"{ensure_checkpoint_dir(s).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    root = f"{_shared_folder(s)}/stream-{uuid.uuid4().hex[:12]}"
     files.write_raw_csv(claims_raw(s, d), f"{root}/landing")
     run_ingest(s, f"{root}/landing", f"{root}/staging", f"{root}/rejects", f"{root}/_checkpoint")
     return ingest_summary(s, f"{root}/staging", f"{root}/rejects")
