@@ -119,3 +119,18 @@ def test_histogram_includes_empty_bins(spark):
     rows = [dict(Age=0), dict(Age=10), dict(Age=10)]
     h = eda.histogram(claims_df(spark, rows), "Age", 5).collect()
     assert [r.n for r in h] == [1, 0, 0, 0, 2]
+
+
+def test_recommend_hits_ties_and_misses(spark):
+    rows = [dict(Age=40, InsuranceProvider="I1", BillingAmount="100"),
+            dict(Age=40, InsuranceProvider="I2", BillingAmount="100"),
+            dict(Age=40, InsuranceProvider="I3", BillingAmount="300")]
+    r = ranking.cheapest_insurer(enriched(claims_df(spark, rows)))
+    profiles = spark.createDataFrame(
+        [(1, 35, "O+", "Diabetes", "Aspirin"), (2, 0, "O+", "Diabetes", "Aspirin"),
+         (3, 40, "A+", "Diabetes", "Aspirin")],
+        "profile_id long, age int, blood_type string, condition string, medication string")
+    hits = ranking.recommend(r, profiles).collect()
+    assert sorted((h.profile_id, h.insurer, h.rank) for h in hits) == [(1, "I1", 1), (1, "I2", 1)]
+    misses = ranking.unmatched_profiles(r, profiles).collect()
+    assert sorted((m.profile_id, m.age_group) for m in misses) == [(2, "0-1"), (3, "31-45")]
