@@ -34,9 +34,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 18
 MAX_ROWS = 12_000
-EPOCHS = 3
+EPOCHS = 6
 THRESHOLD = 0.7
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.5
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.1
 SEED = 31
 
 
