@@ -219,7 +219,8 @@ def repeated(docs: DataFrame) -> DataFrame:
     kept = (marked.withColumn("known", state).where(F.col("known").isNotNull())
             .select("row", "doc_id", "lo", "n", "known", F.when(F.col("known") == 0, F.col("h")).alias("h")).checkpoint(eager=True))
     open_ = kept.where(F.col("known") == 0).groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("h", "lo", "n")).alias("want"))
-    with_text = open_.join(docs.select("row", "doc_id", F.col("text").alias("t")), F.col("r") == F.col("row"))
+    # the same exchange of texts by row serves here and for the result: equal columns, equal order
+    with_text = docs.join(open_, F.col("row") == F.col("r"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,7 +233,7 @@ def repeated(docs: DataFrame) -> DataFrame:
                     pa.array([data[w["lo"]:w["lo"] + w["n"] + WIDTH - 1] for w in want], pa.binary())],
                     names=["h", "doc_id", "row", "lo", "data"])
 
-    pieces = with_text.select("row", "doc_id", "want", "t").mapInArrow(cut, "h long, doc_id long, row long, lo int, data binary")
+    pieces = with_text.select("row", "doc_id", "want", "text").mapInArrow(cut, "h long, doc_id long, row long, lo int, data binary")
     every = kept.where(F.col("known") == 1).select("row", "lo", "n").union(_edges(pieces))
     return every.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("lo", "n"))).alias("spans")).select(F.col("row").alias("sr"), "spans")
 
