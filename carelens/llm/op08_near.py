@@ -14,8 +14,8 @@ bucket every member is paired with the smallest member and with the one that col
 (the likely original of a group of copies): linear, never all pairs.  Pairs are checked exactly
 on their texts, and linked vertices become components.  A bucket that still holds several
 components is looked at again: members outside its largest component meet the members of other
-components in blocks of bounded size, by signature; those that may reach the threshold are
-checked exactly as well.  So a link between different components isn't lost to the stars, and
+components in blocks of bounded size; where signatures allow the threshold, texts decide in
+place, and only the links found are sent on, one per vertex and component.  So a link between different components isn't lost to the stars, and
 large groups, being one component by then, cost nothing more.
 
 Components come from alternating large-star and small-star rounds on edges, checkpointed; no
@@ -47,7 +47,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BANDS, ROWS, WIDTH = 32, 4, 5
 PARTS = BANDS * ROWS
 MAY_REACH = 0.66  # four standard errors of a signature of 128 below 0.8
-BLOCK = 1024
+BLOCK = 256
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -156,8 +156,24 @@ def signed(docs: DataFrame) -> DataFrame:
     return text.mapInArrow(work, SIGNED)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
-    """The (x, y) of ``pairs`` whose texts have weighted Jaccard >= num / den, exactly."""
+def bag_of(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    return (*np.unique(shingles, return_counts=True), len(shingles))
+
+
+def similar(one: tuple, two: tuple, num: int = 4, den: int = 5) -> bool:
+    """Whether the weighted Jaccard similarity of two bags is num / den or more, exactly."""
+    (ex, cx, nx), (ey, cy, ny) = one, two
+    if den * min(nx, ny) < num * max(nx, ny):
+        return False
+    at = np.searchsorted(ex, ey)
+    at[at == len(ex)] = 0
+    same = ex[at] == ey if len(ex) else np.zeros(len(ey), bool)
+    shared = int(np.minimum(cx[at[same]], cy[same]).sum())
+    return shared > 0 and den * shared >= num * (nx + ny - shared)
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The (x, y) of ``pairs`` whose texts are similar."""
     texts = docs.select(F.col("doc_id").cast("long").alias("i"), text_of().alias("t"))
     one = pairs.join(texts.select(F.col("i").alias("xi"), F.col("t").alias("tx")), F.col("x") == F.col("xi")).select("x", "y", "tx")
     both = one.join(texts.select(F.col("i").alias("yi"), F.col("t").alias("ty")), F.col("y") == F.col("yi")).select("x", "y", "tx", "ty")
@@ -165,25 +181,16 @@ def verified(pairs: DataFrame, docs: DataFrame, num: int = 4, den: int = 5) -> D
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, kept = Shingler(), {}
 
-        def bag(i: int, text: str) -> tuple[np.ndarray, np.ndarray, int]:
+        def bag(i: int, text: str) -> tuple:
             got = kept.get((i, len(text)))
             if got is None or got[0] != text:
                 if len(kept) > 200:
                     kept.clear()
-                s = shingle(text)
-                got = kept[i, len(text)] = (text, (*np.unique(s, return_counts=True), len(s)))
+                got = kept[i, len(text)] = (text, bag_of(shingle(text)))
             return got[1]
 
         for rows in batches:
-            out = []
-            for x, y, tx, ty in rows.itertuples(index=False):
-                (ex, cx, nx), (ey, cy, ny) = bag(x, tx), bag(y, ty)
-                if den * min(nx, ny) < num * max(nx, ny):
-                    continue
-                _, i, j = np.intersect1d(ex, ey, assume_unique=True, return_indices=True)
-                shared = int(np.minimum(cx[i], cy[j]).sum())
-                if shared and den * shared >= num * (nx + ny - shared):
-                    out.append((x, y))
+            out = [(x, y) for x, y, tx, ty in rows.itertuples(index=False) if similar(bag(x, tx), bag(y, ty))]
             yield pd.DataFrame(out, columns=["x", "y"], dtype="int64")
 
     return both.mapInPandas(check, "x long, y long").distinct()
@@ -210,32 +217,58 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("v"), F.col("w").alias("c")).union(now.select(F.col("w").alias("v"), F.col("w").alias("c"))).distinct()
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs (x, y) of different components in one bucket that may reach the threshold."""
+def _across(members: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (x, y) between different components that share a bucket.
+
+    Open buckets are taken together by their largest component, each vertex once.  In blocks of
+    bounded size, the vertices outside it meet the others; signatures leave those that may reach
+    the threshold, texts decide, and each vertex sends on one link per other component.
+    """
     key = ["band", "h"]
     per = members.groupBy(*key, "c").agg(F.count(F.lit(1)).alias("n"))
     open_ = (per.groupBy(*key).agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("size"), F.max_by("c", F.struct("n", "c")).alias("main"))
              .where((F.col("parts") > 1) & (F.col("size") > 2))  # the pair of a bucket of two has been checked
-             .select(F.col("band").alias("ob"), F.col("h").alias("oh"), "main", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = members.join(open_, (F.col("band") == F.col("ob")) & (F.col("h") == F.col("oh")))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cols = ["band", "h", "v", "c", "sig"]
-    left = rows.where(F.col("c") != F.col("main")).select(*cols, F.col("own").alias("i"), every.alias("j")).toDF(*cols, "i", "j")
-    right = rows.select(*cols, every.alias("i"), F.col("own").alias("j")).toDF(*cols, "i", "j")
+             .select(F.col("band").alias("ob"), F.col("h").alias("oh"), "main"))
+    group = (members.join(open_, (F.col("band") == F.col("ob")) & (F.col("h") == F.col("oh"))).select("main", "v", "c").distinct())
+    blocks = group.groupBy("main").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.greatest(F.lit(1), F.count_if(F.col("c") != F.col("main"))) / BLOCK).cast("int").alias("rounds")).select(F.col("main").alias("bm"), "blocks", "rounds")
+    texts = docs.select(F.col("doc_id").cast("long").alias("i"), text_of().alias("t"))
+    rows = (group.join(blocks, F.col("main") == F.col("bm")).join(sigs, F.col("v") == F.col("sv"))
+            .join(texts, F.col("v") == F.col("i")))
+    cols = ["main", "v", "c", "sig", "t"]
+    own = lambda n: F.pmod(F.xxhash64("v"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where(F.col("c") != F.col("main")).select(*cols, own("rounds").alias("i"), every("blocks").alias("j")).toDF(*cols, "i", "j")
+    right = rows.select(*cols, own("blocks").alias("j"), every("rounds").alias("i")).toDF(*cols, "j", "i")
 
     def meet(few: pd.DataFrame, all_: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(few) and len(all_):
+            shingle, bags = Shingler(), {}
             sig = np.frombuffer(b"".join(all_["sig"]), np.uint16).reshape(len(all_), PARTS)
-            v, c = all_["v"].to_numpy(), all_["c"].to_numpy()
-            for x, cx, s in zip(few["v"], few["c"], few["sig"]):
+            v, c, t = all_["v"].to_numpy(), all_["c"].to_numpy(), all_["t"].tolist()
+
+            def bag(k: int) -> tuple:
+                if k not in bags:
+                    bags[k] = bag_of(shingle(t[k]))
+                return bags[k]
+
+            for x, cx, s, text in zip(few["v"], few["c"], few["sig"], few["t"]):
                 like = (sig == np.frombuffer(s, np.uint16)).sum(1)
-                out += [(min(x, y), max(x, y)) for y in v[(like >= MAY_REACH * PARTS) & (c != cx)]]
+                near = np.flatnonzero((like >= MAY_REACH * PARTS) & (c != cx))
+                mine, linked = None, set()
+                for k in near[np.argsort(-like[near], kind="stable")]:
+                    if c[k] in linked:
+                        continue
+                    mine = mine or bag_of(shingle(text))
+                    if similar(mine, bag(k)):
+                        linked.add(c[k])
+                        out.append((min(x, v[k]), max(x, v[k])))
         return pd.DataFrame(list(dict.fromkeys(out)), columns=["x", "y"], dtype="int64")
 
-    group = [*key, "i", "j"]
-    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(meet, "x long, y long").distinct()
+    cell = ["main", "i", "j"]
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(meet, "x long, y long").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -261,8 +294,8 @@ def classes(docs: DataFrame) -> DataFrame:
     label = first.select(F.col("v").alias("lv"), "c")
     sigs = vertex.select(F.col("v").alias("sv"), "sig")
     placed = (member.select("v", "band", "h").join(label, F.col("v") == F.col("lv"), "left")
-              .select("v", "band", "h", F.coalesce("c", "v").alias("c")).join(sigs, F.col("v") == F.col("sv")))
-    more = verified(_across(placed), docs)
+              .select("v", "band", "h", F.coalesce("c", "v").alias("c")))
+    more = _across(placed, sigs, docs)
     final = components(edges.union(more).checkpoint(eager=True)).select(F.col("v").alias("fv"), F.col("c").alias("fc"))
     owner = vertex.join(final, F.col("v") == F.col("fv"), "left").select(
         F.col("a").alias("va"), F.col("b").alias("vb"), F.coalesce("fc", "v").alias("class_id"))
