@@ -102,11 +102,16 @@ def mix(docs: DataFrame, seed: int = SEED, block_tokens: int = BLOCK_TOKENS, sha
 
     # whole blocks per shard, then seats per source, then seats per shard
     shards = (sharded(narrow).groupBy(o["source"], o["shard"])
-              .agg(F.sum(o["size"]).alias("_words"), F.first("weight").alias("_w"), F.first("_all").alias("_all"))
+              .agg(F.sum(o["size"]).alias("_words"), F.first("weight").alias("_w"),
+                   F.first(o["target"]).alias("_t"), F.first(o["source_size"]).alias("_size"))
               .withColumn("_blocks", F.ceil(F.col("_words") / block_tokens).cast("long")))
     by_source = (shards.groupBy(o["source"])
                  .agg((F.sum("_blocks") * max_passes).alias("cap"), F.first("_w").alias("weight"),
-                      F.round(F.first("_all") / block_tokens).cast("long").alias("total")))
+                      F.first("_t").alias("_t"), F.first("_size").alias("_size")))
+    # a source at its limit gives all its blocks, the last of a shard being short
+    words = F.when(F.col("_t") >= max_passes * F.col("_size"), F.col("cap") * block_tokens).otherwise(F.col("_t"))
+    by_source = by_source.select(o["source"], "cap", "weight", F.round(
+        F.sum(words).over(Window.partitionBy()) / block_tokens).cast("long").alias("total"))
     seats = apportion(by_source, [], [o["source"]]).select(F.col(o["source"]).alias("_s"), F.col("seats").alias("_seats"))
     quota = apportion(
         shards.join(seats, equal_keys(shards, seats, [(o["source"], "_s")]))

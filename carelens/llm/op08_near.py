@@ -47,7 +47,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BANDS, ROWS, WIDTH = 32, 4, 5
 PARTS = BANDS * ROWS
 MAY_REACH = 0.66  # four standard errors of a signature of 128 below 0.8
-BLOCK = 256
+BLOCK = 1024
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,11 +122,12 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], parts: int = PARTS) ->
     return ident.reshape(n, parts)
 
 
-SIGNED = "doc_id long, a long, b long, bands array<long>, sig binary"
+SIGNED = "doc_id long, a long, b long, bands array<long>"
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, hash of the words (a, b), band hashes and 16-bit signature; no words: null bands."""
+    """doc_id, hash of the words (a, b) and the bands: a signature of 16 bits a component, ``ROWS``
+    of them to a long, so that a band is its own key.  No words: null bands."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
@@ -141,15 +142,11 @@ def signed(docs: DataFrame) -> DataFrame:
                     b.append(np.add.reduce(_mix(_mix(s) ^ (order * np.uint64(0xE7037ED1A0B428DB))), initial=np.uint64(len(s))))
                     bags.append(np.unique(s, return_counts=True))
                 sig = signatures(bags)
-                rows = sig.reshape(len(bags), BANDS, ROWS).astype(np.uint64)
-                band = np.zeros((len(bags), BANDS), dtype=np.uint64)
-                for r in range(ROWS):
-                    band = _mix(band * GOLDEN + rows[:, :, r] + np.uint64(1))
-                band = band.astype(np.int64)
+                band = sig.astype(np.uint16).view(np.int64).reshape(len(bags), BANDS)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(np.array(a, np.uint64).astype(np.int64)), pa.array(np.array(b, np.uint64).astype(np.int64)),
-                    pa.array([x if len(e) else None for x, (e, _) in zip(band, bags)], pa.list_(pa.int64())),
-                    pa.array([x.astype(np.uint16).tobytes() for x in sig], pa.binary())], names=["doc_id", "a", "b", "bands", "sig"])
+                    pa.array([x if len(e) else None for x, (e, _) in zip(band, bags)], pa.list_(pa.int64()))],
+                    names=["doc_id", "a", "b", "bands"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     # equal hashes of no words: each such row is alone, told apart by null bands
@@ -246,7 +243,7 @@ def _across(members: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
         out = []
         if len(few) and len(all_):
             shingle, bags = Shingler(), {}
-            sig = np.frombuffer(b"".join(all_["sig"]), np.uint16).reshape(len(all_), PARTS)
+            sig = np.stack(all_["sig"]).astype(np.int64).view(np.uint16)
             v, c, t = all_["v"].to_numpy(), all_["c"].to_numpy(), all_["t"].tolist()
 
             def bag(k: int) -> tuple:
@@ -255,7 +252,7 @@ def _across(members: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
                 return bags[k]
 
             for x, cx, s, text in zip(few["v"], few["c"], few["sig"], few["t"]):
-                like = (sig == np.frombuffer(s, np.uint16)).sum(1)
+                like = (sig == np.asarray(s, np.int64).view(np.uint16)).sum(1)
                 near = np.flatnonzero((like >= MAY_REACH * PARTS) & (c != cx))
                 mine, linked = None, set()
                 for k in near[np.argsort(-like[near], kind="stable")]:
@@ -276,8 +273,8 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = signed(docs).checkpoint(eager=True)
     full = rows.where(F.col("bands").isNotNull())
     vertex = (full.where(F.col("doc_id").isNotNull()).groupBy("a", "b")
-              .agg(F.min_by(F.struct("doc_id", "bands", "sig"), "doc_id").alias("r")).select("a", "b", "r.*"))
-    vertex = vertex.select("a", "b", F.col("doc_id").alias("v"), "bands", "sig").checkpoint(eager=True)
+              .agg(F.min_by(F.struct("doc_id", "bands"), "doc_id").alias("r")).select("a", "b", "r.*"))
+    vertex = vertex.select("a", "b", F.col("doc_id").alias("v"), "bands").checkpoint(eager=True)
     held = vertex.select("v", F.posexplode("bands").alias("band", "h"))
     buckets = held.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least")).where(F.col("n") > 1)
     buckets = buckets.select(F.col("band").alias("bb"), F.col("h").alias("bh"), "n", "least")
@@ -292,7 +289,7 @@ def classes(docs: DataFrame) -> DataFrame:
     edges = verified(pairs, docs).checkpoint(eager=True)
     first = components(edges)
     label = first.select(F.col("v").alias("lv"), "c")
-    sigs = vertex.select(F.col("v").alias("sv"), "sig")
+    sigs = vertex.select(F.col("v").alias("sv"), F.col("bands").alias("sig"))
     placed = (member.select("v", "band", "h").join(label, F.col("v") == F.col("lv"), "left")
               .select("v", "band", "h", F.coalesce("c", "v").alias("c")))
     more = _across(placed, sigs, docs)

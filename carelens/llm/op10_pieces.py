@@ -25,6 +25,7 @@ import re
 import sys
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -222,8 +223,6 @@ def encoded(docs: DataFrame, path: str | None = None, kind: str = "bpe", rows: i
 
 def decoded(rows: DataFrame, path: str | None = None, ids: str = "ids", out: str = "text") -> DataFrame:
     """``rows`` with the text of the column of piece ids; null ids give the empty text."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = pieces(path, "bpe")
