@@ -33,7 +33,7 @@ from .common import OWN, documents, text_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 18
-MAX_ROWS = 12_000
+MAX_ROWS = 6_000
 EPOCHS = 6
 THRESHOLD = 0.7
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.1
@@ -86,7 +86,7 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS,
 
     for _ in range(epochs):
         for bucket, value, y in examples:
-            i, x = np.append(bucket, size), np.append(value, 1.0)
+            i, x = np.append(bucket, size).astype(np.int64), np.append(value, 1.0).astype(float)
             w = weights(i)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
             g = (p - y) * x
@@ -118,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int = MA
     made = rows.select("doc_id", "y", "text").mapInPandas(hashed, "doc_id long, y int, i binary, x binary")
     rng = np.random.default_rng(seed)
     got = sorted((r.doc_id, r.y, bytes(r.i), bytes(r.x)) for r in made.toLocalIterator())  # at most max_rows documents
-    examples = [(np.frombuffer(i, np.int32).astype(np.int64), np.frombuffer(x, np.float32).astype(float), y) for _, y, i, x in got]
+    examples = [(np.frombuffer(i, np.int32), np.frombuffer(x, np.float32), y) for _, y, i, x in got]  # views, no copies
     return train([examples[k] for k in rng.permutation(len(examples))], bits)
 
 
