@@ -28,12 +28,13 @@ def age_group(age="Age") -> Column:
 
 
 def age_group_of_profile(age="age") -> Column:
-    """Band of a looked-up age: like ``age_group`` but every age below 2 is '0-1'."""
+    """Band of a looked-up age: like ``age_group``; NULL outside 0-150, so that such a profile
+    matches nothing."""
     a = _c(age)
     expr = None
     for label, _lo, hi in AGE_BANDS:
         expr = F.when(a <= hi, label) if expr is None else expr.when(a <= hi, label)
-    return expr.otherwise(OLDEST_BAND[0])
+    return F.when(a.between(0, 150), expr.otherwise(OLDEST_BAND[0]))
 
 
 def length_of_stay(discharge="DischargeDate", admission="DateOfAdmission") -> Column:

@@ -150,7 +150,7 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 
 def boxplot_stats(df: DataFrame, key: str = "MedicalCondition", col: str = "BillingAmount") -> DataFrame:
-    """Quartiles, IQR, whiskers at the most extreme points within 1.5·IQR, flier count;
+    """Quartiles, IQR, whiskers at the most extreme points within 1.5·IQR (never inside the box), flier count;
     groups ordered by median.
 
     The quartile step leaves a checkpointed table of distinct (group, value, count);
@@ -167,8 +167,8 @@ def boxplot_stats(df: DataFrame, key: str = "MedicalCondition", col: str = "Bill
     out = j.groupBy(key).agg(
         F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
         F.first("q3").alias("q3"), F.first("iqr").alias("iqr"),
-        F.min(F.when(x >= F.col("_lo"), x)).alias("whislo"),
-        F.max(F.when(x <= F.col("_hi"), x)).alias("whishi"),
+        F.least(F.min(F.when(x >= F.col("_lo"), x)), F.first("q1")).alias("whislo"),
+        F.greatest(F.max(F.when(x <= F.col("_hi"), x)), F.first("q3")).alias("whishi"),
         F.coalesce(F.sum(F.when((x < F.col("_lo")) | (x > F.col("_hi")), F.col("_cnt"))),
                    F.lit(0)).cast("bigint").alias("fliers"))
     return out.select(key, "n", *[money(c, 4).alias(c) for c in ["q1", "median", "q3", "iqr", "whislo", "whishi"]],

@@ -65,19 +65,22 @@ def _rules_full(raw: DataFrame, t: dict[str, Column], line: Column) -> list[Colu
         v = t[col]
         return msg(v.isNull() | ~v.isin(values), f"Invalid {label} ", _q(v))
 
-    age, bill = t["Age"], t["BillingAmount"]
+    # a whole number beyond 32 bits is out of range, not unreadable; the sign counts before rounding
+    wide, bill = r["Age"].try_cast("decimal(38,0)"), t["BillingAmount"]
+    wide = F.when(r["Age"].rlike(r"^\s*[+-]?[0-9]+\s*$"), wide)
+    exact = r["Billing Amount"].try_cast("double")
     adm, dis = t["DateOfAdmission"], t["DischargeDate"]
     return [
-        msg(age.isNull(), "Invalid age ", _q(r["Age"])),
-        msg(age.isNotNull() & ((age < AGE_MIN) | (age > AGE_MAX)),
-            "Age ", age.cast("string"), f" out of range {AGE_MIN}-{AGE_MAX}"),
+        msg(wide.isNull(), "Invalid age ", _q(r["Age"])),
+        msg(wide.isNotNull() & ((wide < AGE_MIN) | (wide > AGE_MAX)),
+            "Age ", wide.cast("string"), f" out of range {AGE_MIN}-{AGE_MAX}"),
         domain("Gender", GENDERS, "gender"),
         domain("BloodType", BLOOD_TYPES, "blood type"),
         domain("MedicalCondition", CONDITIONS, "medical condition"),
         domain("AdmissionType", ADMISSION_TYPES, "admission type"),
         domain("TestResults", TEST_RESULTS, "test results"),
         msg(bill.isNull(), "Invalid billing amount ", _q(r["Billing Amount"])),
-        msg(bill.isNotNull() & (bill < 0), "Negative billing amount ", bill.cast("double").cast("string")),
+        msg(bill.isNotNull() & (exact < 0), "Negative billing amount ", F.when(bill < 0, bill.cast("double")).otherwise(exact).cast("string")),
         msg(adm.isNull(), "Invalid admission date ", _q(r["Date of Admission"])),
         msg(dis.isNull(), "Invalid discharge date ", _q(r["Discharge Date"])),
         msg(adm.isNotNull() & dis.isNotNull() & (dis < adm), "Discharge date before admission date"),
@@ -140,7 +143,8 @@ def reject_summary(validated: DataFrame) -> DataFrame:
 def first_errors(validated: DataFrame, n: int = 10, record_col: str = "claim_id") -> DataFrame:
     """The first ``n`` messages in record order (a top-n report, not a sample)."""
     e = validated.select(record_col, F.posexplode("errors").alias("pos", "message"))
-    return e.orderBy(record_col, "pos", "message").limit(n)
+    number = F.col(record_col).try_cast("long")  # line numbers count as numbers, other keys as text
+    return e.orderBy(number.asc_nulls_last(), record_col, "pos", "message").limit(n)
 
 
 def as_strings(validated: DataFrame) -> DataFrame:

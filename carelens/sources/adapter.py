@@ -90,9 +90,10 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     su = (table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-          .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")))
-    return (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(cu, F.col("o_custkey") == F.col("c_custkey"))
+          .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
+    # orders meet customers first: lineitem is then shuffled once, on the order key
+    oc = od.join(cu, F.col("o_custkey") == F.col("c_custkey"))
+    return (li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(pa, F.col("l_partkey") == F.col("p_partkey"))
               .join(su, F.col("l_suppkey") == F.col("s_suppkey")))
 

@@ -34,8 +34,9 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
     if check:
         check_header(spark, path)
     schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    return (spark.read.schema(schema)
+    read = (spark.read.schema(schema)
                  .option("header", True)
+                 .option("escape", '"')
                  .option("enforceSchema", True)
                  .option("mode", "PERMISSIVE")
                  .option("columnNameOfCorruptRecord", CORRUPT)
@@ -44,6 +45,10 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
                  .option("multiLine", multi_line)
                  .option("encoding", encoding)
                  .csv(path))
+    # an empty field is an empty text; only what a short row lacks is NULL
+    whole = F.col(CORRUPT).isNull()
+    return read.select(*[F.when(whole, F.coalesce(f"`{c}`", F.lit(""))).otherwise(F.col(f"`{c}`")).alias(c)
+                         for c in RAW_SCHEMA.names], CORRUPT)
 
 
 def with_line_numbers(raw: DataFrame, name: str = "line", max_broadcast_rows: int = 1_000_000) -> DataFrame:
@@ -73,13 +78,13 @@ def read_strict(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Data
     """Typed read that fails on the first unconvertible field (legacy strict load)."""
     check_header(spark, path)
     typed = CLAIMS_SCHEMA
-    return (spark.read.schema(typed).option("header", True).option("mode", "FAILFAST")
+    return (spark.read.schema(typed).option("header", True).option("escape", '"').option("mode", "FAILFAST")
                  .option("dateFormat", "yyyy-MM-dd").option("encoding", encoding).csv(path))
 
 
 def write_raw_csv(raw: DataFrame, path: str) -> None:
     """Write raw claims as CSV with the expected header (blanks kept)."""
     (raw.select(*[F.col(f"`{c}`") for c in EXPECTED_COLUMNS])
-        .write.mode("overwrite").option("header", True)
+        .write.mode("overwrite").option("header", True).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path))

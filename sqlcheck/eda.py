@@ -129,8 +129,8 @@ fli AS (SELECT w.g, COUNT(*) FILTER (WHERE c.BillingAmount < w.whislo OR c.Billi
         FROM claims c JOIN wh w ON c.{key} = w.g WHERE c.BillingAmount IS NOT NULL GROUP BY w.g)""",
                        view=False) + f"""
 SELECT f.g AS {key}, f.n, {dec_round('f.q1', 4)} AS q1, {dec_round('f.median', 4)} AS median,
-       {dec_round('f.q3', 4)} AS q3, {dec_round('f.iqr', 4)} AS iqr, {dec_round('w.whislo', 4)} AS whislo,
-       {dec_round('w.whishi', 4)} AS whishi, x.fliers
+       {dec_round('f.q3', 4)} AS q3, {dec_round('f.iqr', 4)} AS iqr, {dec_round('LEAST(w.whislo, f.q1)', 4)} AS whislo,
+       {dec_round('GREATEST(w.whishi, f.q3)', 4)} AS whishi, x.fliers
 FROM fen f JOIN wh w ON w.g = f.g JOIN fli x ON x.g = f.g"""
 
 

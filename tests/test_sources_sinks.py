@@ -50,3 +50,29 @@ def test_spread_only_when_the_scan_has_few_splits(spark, tmp_dir):
     assert spread(one_split).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100_000, numPartitions=spark.sparkContext.defaultParallelism * 2)
     assert spread(many) is many  # enough splits: plan unchanged, no shuffle added
+
+
+def test_csv_fields_as_a_dict_reader_gives_them(spark, tmp_dir):
+    from carelens.schema import EXPECTED_COLUMNS
+    from carelens.sources.files import read_raw_csv
+    row = ['"Ann ""Bo"", Jr"', "45", "Female", "O+", "Diabetes", "2023-01-15", "", "H", "Aetna", "1", "101", "Elective", "2023-01-25", "", "Normal"]
+    with open(f"{tmp_dir}/a.csv", "w") as f:
+        f.write(",".join(EXPECTED_COLUMNS) + "\n" + ",".join(row) + "\n" + ",".join(row[:9]) + "\n")
+    whole, short = sorted(read_raw_csv(spark, tmp_dir).collect(), key=lambda r: r["Test Results"] is None)
+    assert (whole["Name"], whole["Doctor"], whole["Medication"], whole["Test Results"]) == ('Ann "Bo", Jr', "", "", "Normal")
+    assert short["Test Results"] is None
+
+
+def test_whiskers_never_end_inside_the_box(spark):
+    from carelens.operators.eda import boxplot_stats
+    df = spark.createDataFrame([("a", x) for x in (0, 0, 0, 100)], "g string, x int").selectExpr("g", "cast(x as decimal(18,4)) x")
+    r = boxplot_stats(df, "g", "x").first()
+    assert float(r["whishi"]) == 25 and float(r["whislo"]) == 0 and r["fliers"] == 1
+
+
+def test_edges_of_age_and_amount(raw_rows):
+    from carelens.operators.validate import first_errors, validate
+    bad = validate(raw_rows({"Age": "99999999999"}, {"Billing Amount": "-0.00001"}, *[{"Age": "x"}] * 10))
+    got = [(r["claim_id"], r["message"]) for r in first_errors(bad).collect()]
+    assert got[0][1].endswith("Age 99999999999 out of range 0-150") and "Negative billing amount" in got[1][1]
+    assert [c for c, _ in got] == [str(i) for i in range(2, 12)]
