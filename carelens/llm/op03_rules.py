@@ -1,9 +1,9 @@
 """Quality rules by weak supervision: rules vote or abstain, EM weighs them, a posterior decides.
 
 Every document gets its measures inside its own row (no shuffle): repeated three-word windows
-are found by sorting the windows' hashes with their positions.  Nine rules turn the measures
+are found by sorting the windows' hashes with their positions.  Five rules turn the measures
 into votes (1 good, -1 bad, 0 abstain).  The corpus is then summed up by vote pattern - at most
-3^9 rows whatever the number of documents - and expectation-maximisation over those counts
+3^5 rows whatever the number of documents - and expectation-maximisation over those counts
 estimates, for either class, how often each rule says what; abstaining is an outcome too.  The
 posterior probability of "good" is a sum of log-likelihood ratios written as a column.
 
@@ -133,7 +133,7 @@ def judged(docs: DataFrame, rounds: int = EM_ROUNDS, min_posterior: float = MIN_
     """doc_id, the measures, the votes, base_failed, posterior and kept."""
     rows = measured(docs).select("*", *votes()).checkpoint(eager=True)
     names = [f"v_{r}" for r in rules()]
-    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias(f"{OWN}n")).orderBy(*names).collect()  # at most 3^9 rows
+    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias(f"{OWN}n")).orderBy(*names).collect()  # at most 3^5 rows
     prior, ratio = fit([(tuple(r[x] for x in names), r[f"{OWN}n"]) for r in counts], rounds)
     odds = F.lit(prior)
     for name, by_vote in zip(names, ratio):
