@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import admission_month, collated, avg_int1, avg_money, cost_per_day, money
-from ..plans.broadcast import bounded_broadcast
 from ..plans.ordering import rank_lookup
 
 PERCENTILES = [("p25", "0.25"), ("median", "0.50"), ("p75", "0.75"), ("p90", "0.90"), ("p99", "0.99")]
@@ -55,10 +54,8 @@ def condition_stats(v: DataFrame, key: str = "MedicalCondition") -> DataFrame:
 
 def outlier_rows(v: DataFrame, key: str = "MedicalCondition") -> DataFrame:
     """Claims above their group's mean + 2·σ (population).  The per-group statistics
-    are one small aggregate; it is broadcast after a size check, so the claims are
-    filtered map-side without a shuffle."""
-    stats = bounded_broadcast(condition_stats(v, key))
-    j = v.join(stats, key)
+    are one small aggregate; AQE sees its size and joins it map-side."""
+    j = v.join(condition_stats(v, key), key)
     return j.filter(F.col("BillingAmount") > F.col("mean_bill") + 2 * F.col("std_bill"))
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import avg_money, cost_per_day, money
-from ..plans.broadcast import bounded_broadcast
 from ..plans.ordering import interpolated_quantiles
 from ..schema import AGE_BANDS, CONDITIONS, OLDEST_BAND
 
@@ -79,8 +78,7 @@ def _sample_stats(v: DataFrame, key: str) -> DataFrame:
 
 def flag_outliers(v: DataFrame, key: str = "MedicalCondition") -> DataFrame:
     """Every claim with ``IsOutlier`` = billing above its group's mean + 2 · sample std dev."""
-    stats = bounded_broadcast(_sample_stats(v, key))
-    j = v.join(stats, key, "left")
+    j = v.join(_sample_stats(v, key), key, "left")
     flag = F.coalesce(F.col("BillingAmount") > F.col("_mean") + 2 * F.col("_std"), F.lit(False))
     return j.withColumn("IsOutlier", flag).drop("_mean", "_std")
 
@@ -160,9 +158,8 @@ def boxplot_stats(df: DataFrame, key: str = "MedicalCondition", col: str = "Bill
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("_lo", F.col("q1") - F.lit(Decimal("1.5")) * F.col("iqr")) \
          .withColumn("_hi", F.col("q3") + F.lit(Decimal("1.5")) * F.col("iqr"))
-    fences = bounded_broadcast(q)
     x = F.col(col)
-    j = counts.join(fences, key)
+    j = counts.join(q, key)
     # No value lies in [fence, whisker), so a flier is exactly a value outside the fences.
     out = j.groupBy(key).agg(
         F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import collated
-from ..plans.broadcast import bounded_broadcast
 from ..plans.ordering import dense_sequence, dense_sequence_grouped, number_rows
 
 # dimension table → (key column, staging column)
@@ -76,8 +75,7 @@ def dimensions(claims: DataFrame) -> dict[str, DataFrame]:
     parts.append("'Patient', Name, Age, Gender, BloodType")
     stacked = claims.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) AS (dim, k1, k2, k3, k4)") \
                     .where(F.col("k1").isNotNull())
-    # all keyed members in one size-checked fetch when they are few (one job instead of five)
-    keyed = bounded_broadcast(dense_sequence_grouped(stacked, "dim", ["k1", "k2", "k3", "k4"], "_key"))
+    keyed = dense_sequence_grouped(stacked, "dim", ["k1", "k2", "k3", "k4"], "_key")
     dims = {name: keyed.where(F.col("dim") == name).select(F.col("_key").alias(key), F.col("k1").alias("Name"))
             for name, (key, _s) in NAME_DIMENSIONS.items()}
     dims["Patient"] = keyed.where(F.col("dim") == "Patient").select(
@@ -86,20 +84,16 @@ def dimensions(claims: DataFrame) -> dict[str, DataFrame]:
     return dims
 
 
-def build_fact(claims: DataFrame, dims: dict[str, DataFrame], with_id: bool = True,
-               max_broadcast_rows: int = 100_000) -> DataFrame:
+def build_fact(claims: DataFrame, dims: dict[str, DataFrame], with_id: bool = True) -> DataFrame:
     """Admission fact: staging inner-joined to the five dimensions.
 
     Patient is matched on four columns (equality, so a NULL key drops the row, as in
-    SQL).  Each dimension goes through a size check: up to ``max_broadcast_rows`` it
-    is broadcast and the claims stream through all five joins without a shuffle;
-    a larger dimension (patients at scale) is joined by shuffle, with AQE splitting
-    skewed keys.  Nothing here assumes a dimension is small.
+    SQL).  The planner picks each join from the dimension's size, estimated or (AQE) measured,
+    and splits skewed keys.  Nothing here assumes a dimension is small.
     """
-    f = claims.join(bounded_broadcast(dims["Patient"], max_broadcast_rows), PATIENT_KEYS, "inner")
+    f = claims.join(dims["Patient"], PATIENT_KEYS, "inner")
     for name, (key, src) in NAME_DIMENSIONS.items():
-        d = bounded_broadcast(dims[name], max_broadcast_rows).withColumnRenamed("Name", src)
-        f = f.join(d, src, "inner")
+        f = f.join(dims[name].withColumnRenamed("Name", src), src, "inner")
     fact = f.select("PatientID", "DoctorID", "HospitalID", "InsuranceID", "MedicationID", *FACT_ATTRS)
     if not with_id:
         return fact
@@ -108,12 +102,11 @@ def build_fact(claims: DataFrame, dims: dict[str, DataFrame], with_id: bool = Tr
 
 
 def fk_audit(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows whose foreign key has no dimension row, per foreign key → (fk, orphans)."""
-    out = None
-    pairs = [("Patient", "PatientID")] + [(n, k) for n, (k, _s) in NAME_DIMENSIONS.items()]
-    for name, key in pairs:
-        orphans = fact.select(key).join(dims[name].select(key), key, "left_anti")
-        row = orphans.agg(F.count(F.lit(1)).alias("orphans")).select(
-            F.lit(key).alias("fk"), "orphans")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Fact rows whose foreign key has no dimension row, per foreign key → (fk, orphans); one pass
+    over the fact (dimension keys are unique, so the left joins add no rows)."""
+    keys = ["PatientID", *[k for k, _s in NAME_DIMENSIONS.values()]]
+    rows = fact.select(*keys)
+    for name, key in zip(["Patient", *NAME_DIMENSIONS], keys):
+        rows = rows.join(dims[name].select(key, F.lit(True).alias(f"_has_{key}")), key, "left")
+    counts = rows.agg(*[F.count_if(F.col(f"_has_{k}").isNull()).alias(k) for k in keys])
+    return counts.selectExpr(f"stack({len(keys)}, {', '.join(f"'{k}', `{k}`" for k in keys)}) AS (fk, orphans)")

@@ -24,9 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .broadcast import bounded_broadcast
 
-CNT, PID, OFF, PTOT, RUN = "_cnt", "_pid", "_off", "_ptot", "_run"
+CNT, PID, OFF, PTOT, RUN, POS = "_cnt", "_pid", "_off", "_ptot", "_run", "_pos"
+#: monotonically_increasing_id holds the partition above these bits, the place in it below.
+PLACE_BITS = 33
 
 
 def _range(df: DataFrame, order, num_partitions: int | None) -> DataFrame:
@@ -102,8 +103,8 @@ def rank_lookup(df: DataFrame, group_cols: Sequence[str], value_col: str,
     o = _prefixed(offs, "o")
     tp = tgt.join(o, _keys_eq(tgt, o, group_cols, "o")
                   & (o["o" + OFF] < tgt["k"]) & (tgt["k"] <= o["o" + OFF] + o["o" + PTOT]))
-    # at most #groups x #targets rows: materialise and broadcast (size-checked)
-    tp = bounded_broadcast(tp.select(*group_cols, "target", "k", "_n", F.col("o" + PID).alias(PID)))
+    # at most #groups x #targets rows
+    tp = tp.select(*group_cols, "target", "k", "_n", F.col("o" + PID).alias(PID))
     # running counts only inside the partitions that hold a target
     hit = _semi(ranged, tp.select(*group_cols, PID).distinct(), group_cols + [PID])
     cum = with_cumulative(hit, offs, group_cols, [value_col])
@@ -125,9 +126,10 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], name: str,
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1..n following ``order_cols`` (ties broken arbitrarily), all columns kept.
 
-    Range partitioning spreads the rows in order over the partitions; the per-partition
-    counts (one small table) give each partition its starting number.  Never a
-    single-partition window over the data.  A per-row id is the last range key, so
+    Range partitioning spreads the rows in order over the partitions, where they are sorted
+    and tagged with their place before the checkpoint, so they move once.  The counts (one
+    row per range partition, a number set by the shuffle settings, hence broadcast) give
+    each partition its starting number.  Never a single-partition window over the data.  A per-row id is the last range key, so
     even a third of the rows being identical copies is spread over many partitions
     (copies are interchangeable, so which copy gets which number does not matter).
     """
@@ -135,13 +137,14 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], name: str,
     tie = "_tie"
     order = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col(tie).asc()]
     ranged = (_range(df.withColumn(tie, F.monotonically_increasing_id()), order, num_partitions)
-                .withColumn(PID, F.spark_partition_id()).checkpoint(eager=True))
+                .sortWithinPartitions(*order).withColumn(POS, F.monotonically_increasing_id()).checkpoint(eager=True)
+                .withColumn(PID, F.shiftright(POS, PLACE_BITS)))
     counts = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias(PTOT))
     w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offs = _prefixed(counts.withColumn(OFF, F.coalesce(F.sum(PTOT).over(w), F.lit(0))), "o")
-    rn = F.row_number().over(Window.partitionBy(PID).orderBy(*order))
-    j = ranged.withColumn(RUN, rn).join(offs, F.col(PID) == F.col("o" + PID))
-    return j.select(*df.columns, (F.col("o" + OFF) + F.col(RUN)).cast("long").alias(name))
+    place = F.col(POS).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    j = ranged.join(F.broadcast(offs), F.col(PID) == F.col("o" + PID))
+    return j.select(*df.columns, (F.col("o" + OFF) + place + 1).cast("long").alias(name))
 
 
 def dense_sequence(df: DataFrame, order_cols: Sequence[str], name: str,

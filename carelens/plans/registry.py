@@ -124,15 +124,15 @@ register("q_admission_distinct")(
         "BillingAmount", F.col("BillingAmount").cast("double")))
 
 
-def _fact(s, d):
+def _fact(s, d, with_id=True):
     c = _claims(s, d)
     dims = model.dimensions(c)
-    return model.build_fact(c, dims), dims
+    return model.build_fact(c, dims, with_id), dims
 
 
 register("q_fact")(lambda s, d: _fact(s, d)[0].withColumn(
     "BillingAmount", F.col("BillingAmount").cast("double")))
-register("q_fk_audit")(lambda s, d: model.fk_audit(*_fact(s, d)))
+register("q_fk_audit")(lambda s, d: model.fk_audit(*_fact(s, d, with_id=False)))
 
 # -- data profile (over the permissive load, as the profiler reads staging) ----
 from ..operators import profile as prof  # noqa: E402

@@ -6,38 +6,46 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.broadcast import bounded_broadcast
 from ..schema import CLAIMS_SCHEMA, EXPECTED_COLUMNS, RAW_SCHEMA
+from ..session import ensure_checkpoint_dir
 
 CORRUPT = "_corrupt_record"
 
 
-def check_header(spark: SparkSession, path: str, expected=EXPECTED_COLUMNS) -> None:
-    """Raise ValueError unless the trimmed header equals ``expected`` in order.
+def check_header(spark: SparkSession, path: str, expected=EXPECTED_COLUMNS) -> list[str]:
+    """Raise ValueError unless the trimmed header equals ``expected`` in order; returns it as spelt.
 
     Without schema inference the reader only parses the header line, so this is one
     tiny job; the data is not scanned.
     """
-    got = [c.strip() for c in spark.read.option("header", True).option("inferSchema", False)
-                                        .csv(path).columns]
+    spelt = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    got = [c.strip() for c in spelt]
     if got != list(expected):
         raise ValueError("CSV columns don't match expected schema.\n"
                          f"  Expected: {list(expected)}\n  Got:      {got}")
+    return spelt
+
+
+def whole_rows(read: DataFrame) -> DataFrame:
+    """An empty field is an empty text; only what a short row lacks is NULL."""
+    whole = F.col(CORRUPT).isNull()
+    return read.select(*[F.when(whole, F.coalesce(f"`{c}`", F.lit(""))).otherwise(F.col(f"`{c}`")).alias(c.strip())
+                         for c in read.columns if c != CORRUPT], CORRUPT)
 
 
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
                  encoding: str = "UTF-8", check: bool = True) -> DataFrame:
     """All 15 fields as strings (no inference), blanks preserved for the validator.
 
-    A short row arrives NULL-padded; the malformed line is kept in ``_corrupt_record``.
+    A short row arrives NULL-padded; the malformed line is kept in ``_corrupt_record``.  With
+    ``check`` every file must carry the first file's header (Spark compares them as it reads).
     """
-    if check:
-        check_header(spark, path)
-    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    names = check_header(spark, path) if check else RAW_SCHEMA.names
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*names, CORRUPT]])
     read = (spark.read.schema(schema)
                  .option("header", True)
                  .option("escape", '"')
-                 .option("enforceSchema", True)
+                 .option("enforceSchema", not check)
                  .option("mode", "PERMISSIVE")
                  .option("columnNameOfCorruptRecord", CORRUPT)
                  .option("ignoreLeadingWhiteSpace", False)
@@ -45,30 +53,27 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
                  .option("multiLine", multi_line)
                  .option("encoding", encoding)
                  .csv(path))
-    # an empty field is an empty text; only what a short row lacks is NULL
-    whole = F.col(CORRUPT).isNull()
-    return read.select(*[F.when(whole, F.coalesce(f"`{c}`", F.lit(""))).otherwise(F.col(f"`{c}`")).alias(c)
-                         for c in RAW_SCHEMA.names], CORRUPT)
+    return whole_rows(read)
 
 
-def with_line_numbers(raw: DataFrame, name: str = "line", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def with_line_numbers(raw: DataFrame, name: str = "line") -> DataFrame:
     """Number records in file order, per file, starting at 2 (line 1 is the header).
 
-    No shuffle of the data.  A CSV split is read in file order and Spark keeps the
-    splits of one file in offset order, so (partition id, position in partition)
-    orders the records of a file.  One scan counts records per (file, partition)
-    — a table of about one row per split — whose running sums give each split's
-    first line; the data is then joined to that table (broadcast when it is small).
+    A CSV split is read in file order and Spark keeps the splits of one file in offset
+    order, so (partition id, position in partition) orders the records of a file.  The
+    tagged rows are checkpointed once, so the numbers hold however a later scan would be
+    split; counts per (file, partition) - about one row per split - have running sums that
+    give each split's first line.
     """
+    ensure_checkpoint_dir(raw.sparkSession)
     tagged = (raw.withColumn("_file", F.col("_metadata.file_path"))
                  .withColumn("_pid", F.spark_partition_id())
-                 .withColumn("_pos", F.monotonically_increasing_id()))
+                 .withColumn("_pos", F.monotonically_increasing_id()).checkpoint(eager=True))
     per_split = tagged.groupBy("_file", "_pid").agg(F.count(F.lit(1)).alias("_cnt"),
                                                    F.min("_pos").alias("_first"))
     before = Window.partitionBy("_file").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_split.select("_file", "_pid", "_first",
                                F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    offsets = bounded_broadcast(offsets, max_broadcast_rows)
     j = tagged.join(offsets, ["_file", "_pid"])
     line = F.col("_off") + (F.col("_pos") - F.col("_first")) + 2
     return j.withColumn(name, line.cast("long")).drop("_file", "_pid", "_pos", "_first", "_off")

@@ -15,19 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.validate import split, validate
-from ..schema import EXPECTED_COLUMNS, RAW_SCHEMA
+from ..schema import EXPECTED_COLUMNS
+from ..sources.files import CORRUPT, whole_rows
 
 
 def stream_raw_claims(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None
                       ) -> DataFrame:
-    """Streaming DataFrame of raw claims (15 string columns + ``source_file``)."""
-    r = (spark.readStream.schema(RAW_SCHEMA).option("header", True)
+    """Streaming DataFrame of raw claims (15 string columns + ``source_file``), read as the batch
+    load reads them; every file's header is compared with the expected one."""
+    fields = ", ".join(f"`{c}` string" for c in [*EXPECTED_COLUMNS, CORRUPT])
+    r = (spark.readStream.schema(fields).option("header", True)
+              .option("escape", '"').option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.csv(landing_dir)
-    return df.select(F.col("_metadata.file_name").alias("source_file"),
-                     *[F.col(f"`{c}`") for c in EXPECTED_COLUMNS])
+    return whole_rows(df.withColumn("source_file", F.col("_metadata.file_name"))).select(
+        "source_file", *[F.col(f"`{c}`") for c in EXPECTED_COLUMNS])
 
 
 def run_ingest(spark: SparkSession, landing_dir: str, staging_dir: str, rejects_dir: str,

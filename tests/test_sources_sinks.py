@@ -44,12 +44,27 @@ def test_case_insensitive_dimension(spark):
     assert model.dimension(df, "Doctor", "DoctorID", collation="UNICODE_CI_AI").count() == 2
 
 
-def test_spread_only_when_the_scan_has_few_splits(spark, tmp_dir):
-    from carelens.sources.adapter import spread
-    one_split = spark.read.parquet(f"{SF}/lineitem.parquet")
-    assert spread(one_split).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100_000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread(many) is many  # enough splits: plan unchanged, no shuffle added
+def test_every_file_must_carry_the_header(spark, tmp_dir):
+    import os
+
+    from .test_validate import HEADER
+    row = "A,45,Female,O+,Diabetes,2023-01-15,DOC,HOSP,M,100.5,101,Elective,2023-01-20,Aspirin,Normal\n"
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.csv", "w") as f:
+        f.write(HEADER + row * 50)
+    assert files.read_raw_csv(spark, f"{tmp_dir}/in").count() == 50
+    with open(f"{tmp_dir}/in/b.csv", "w") as f:
+        f.write(HEADER.replace("Doctor,Hospital", "Hospital,Doctor") + row)
+    with pytest.raises(Exception):
+        files.read_raw_csv(spark, f"{tmp_dir}/in").collect()
+
+
+def test_fk_audit_counts_orphans(spark):
+    keys = ["PatientID", "DoctorID", "HospitalID", "InsuranceID", "MedicationID"]
+    fact = spark.createDataFrame([(1, 1, 1, 1, 1), (2, 9, 1, 1, 1), (9, 9, 1, None, 1)], ", ".join(f"{k} long" for k in keys))
+    dims = {n: spark.createDataFrame([(1,), (2,)], f"{k} long") for n, k in zip(["Patient", *model.NAME_DIMENSIONS], keys)}
+    got = {r.fk: r.orphans for r in model.fk_audit(fact, dims).collect()}
+    assert got == {"PatientID": 1, "DoctorID": 2, "HospitalID": 0, "InsuranceID": 1, "MedicationID": 0}
 
 
 def test_csv_fields_as_a_dict_reader_gives_them(spark, tmp_dir):
