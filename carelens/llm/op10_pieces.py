@@ -23,7 +23,8 @@ from __future__ import annotations
 import hashlib
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -47,6 +48,21 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+class Folded(dict):
+    """Segment -> ids, folded when first asked for; bounded, and only segments of usual length stay."""
+
+    def __init__(self, fold: Callable[[str], list[int]]):
+        self.fold = fold
+
+    def __missing__(self, segment: str) -> tuple[int, ...]:
+        ids = tuple(self.fold(segment))
+        if len(self) >= CACHE:
+            self.clear()
+        if len(segment) <= 64:
+            self[segment] = ids
+        return ids
+
+
 class Pieces:
     """The piece table of a model file, its segments' lattices and their folds."""
 
@@ -69,7 +85,9 @@ class Pieces:
         self.of_byte = {i: b for b, i in self.byte.items()}
         self.special, self.unknown = special, model.unk_id()
         self.longest = max(map(len, self.table), default=1)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.shown = ["" if i in special else p for i, p in enumerate(self.text)]
+        self.names = [str(i) for i in range(size)]
+        self.cache = Folded(self.fold)
 
     def lattice(self, segment: str) -> dict[tuple[int, int], tuple[float, int]]:
         """(from, to) -> (score, id) of every substring that is a piece."""
@@ -161,32 +179,29 @@ class Pieces:
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        cache, out = self.cache, []
-        for segment in _SEGMENT.findall(BLANK + text.replace(" ", BLANK)):
-            ids = cache.get(segment)
-            if ids is None:
-                ids = tuple(self.fold(segment))
-                if len(cache) >= CACHE:
-                    cache.clear()
-                if len(segment) <= 64:
-                    cache[segment] = ids
-            out.extend(ids)
-        return out
+        segments = _SEGMENT.findall(BLANK + text.replace(" ", BLANK))
+        return list(chain.from_iterable(map(self.cache.__getitem__, segments)))
+
+    def digest(self, ids: list[int]) -> str:
+        return hashlib.sha256(",".join(map(self.names.__getitem__, ids)).encode()).hexdigest()
 
     def decode(self, ids: list[int]) -> str:
-        out, run = [], bytearray()
-        for i in ids:
-            b = self.of_byte.get(i)
-            if b is not None:
-                run.append(b)
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run.clear()
-            if i not in self.special:
-                out.append(self.text[i])
-        out.append(run.decode("utf-8", "replace"))
-        text = "".join(out).replace(BLANK, " ")
+        if self.of_byte.keys().isdisjoint(ids):
+            text = "".join(map(self.shown.__getitem__, ids))
+        else:
+            out, run = [], bytearray()
+            for i in ids:
+                b = self.of_byte.get(i)
+                if b is not None:
+                    run.append(b)
+                    continue
+                if run:
+                    out.append(run.decode("utf-8", "replace"))
+                    run.clear()
+                out.append(self.shown[i])
+            out.append(run.decode("utf-8", "replace"))
+            text = "".join(out)
+        text = text.replace(BLANK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -214,7 +229,7 @@ def encoded(docs: DataFrame, path: str | None = None, kind: str = "bpe", rows: i
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
                     pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                    pa.array([hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in ids], pa.string()),
+                    pa.array([model.digest(x) for x in ids], pa.string()),
                     pa.array([model.decode(x) == t.replace(BLANK, " ") for x, t in zip(ids, texts)], pa.bool_())],
                     names=["doc_id", "n_bytes", "n_pieces", "ids", "ids_sha256", "round_trip"])
 
