@@ -38,6 +38,7 @@ EPOCHS = 6
 THRESHOLD = 0.7
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.1
 SEED = 31
+MOST_WORDS = 200_000  # words a task remembers the hashes of
 
 
 class Hasher:
@@ -55,7 +56,7 @@ class Hasher:
         shape = "A" if w.isupper() and len(w) > 1 else "a" if w == low else "Aa"
         shape += "".join(sorted({c for c in w if not c.isalnum()}))[:4] + str(min(9, len(w)))
         out = (self.crc(low.encode("utf-8", "surrogatepass")) + 1, self.crc(("\0" + shape).encode("utf-8", "surrogatepass")) + 1)
-        if len(self.known) > 500_000:
+        if len(self.known) > MOST_WORDS:
             self.known.clear()
         self.known[w] = out
         return out
