@@ -48,6 +48,8 @@ BANDS, ROWS, WIDTH = 32, 4, 5
 PARTS = BANDS * ROWS
 MAY_REACH = 0.66  # four standard errors of a signature of 128 below 0.8
 BLOCK = 1024
+MOST_WORDS = 100_000  # words a task remembers the hashes of
+MOST_SHINGLES = 2_000_000  # shingles of the bags a task keeps at hand
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,7 +69,7 @@ class Shingler:
 
     def __call__(self, text: str | None) -> np.ndarray:
         known, hashed = self.known, self.hash
-        if len(known) > 500_000:
+        if len(known) > MOST_WORDS:
             known.clear()
         ids = []
         for w in self.words(text or ""):
@@ -175,22 +177,27 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     one = pairs.join(texts.select(F.col("i").alias("xi"), F.col("t").alias("tx")), F.col("x") == F.col("xi")).select("x", "y", "tx")
     both = one.join(texts.select(F.col("i").alias("yi"), F.col("t").alias("ty")), F.col("y") == F.col("yi")).select("x", "y", "tx", "ty")
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, kept = Shingler(), {}
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, kept, held = Shingler(), {}, 0
 
         def bag(i: int, text: str) -> tuple:
+            nonlocal held
             got = kept.get((i, len(text)))
             if got is None or got[0] != text:
-                if len(kept) > 200:
+                if held > MOST_SHINGLES:
                     kept.clear()
+                    held = 0
                 got = kept[i, len(text)] = (text, bag_of(shingle(text)))
+                held += got[1][2]
             return got[1]
 
-        for rows in batches:
-            out = [(x, y) for x, y, tx, ty in rows.itertuples(index=False) if similar(bag(x, tx), bag(y, ty))]
-            yield pd.DataFrame(out, columns=["x", "y"], dtype="int64")
+        for whole in batches:
+            for k in range(0, whole.num_rows, 64):
+                rows = zip(*(c.to_pylist() for c in whole.slice(k, 64).columns))
+                out = [(x, y) for x, y, tx, ty in rows if similar(bag(x, tx), bag(y, ty))]
+                yield pa.RecordBatch.from_arrays([pa.array([p[n] for p in out], pa.int64()) for n in (0, 1)], names=["x", "y"])
 
-    return both.mapInPandas(check, "x long, y long").distinct()
+    return both.mapInArrow(check, "x long, y long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -240,15 +247,20 @@ def _across(members: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
     right = rows.select(*cols, own("blocks").alias("j"), every("rounds").alias("i")).toDF(*cols, "j", "i")
 
     def meet(few: pd.DataFrame, all_: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out, held = [], 0
         if len(few) and len(all_):
             shingle, bags = Shingler(), {}
             sig = np.stack(all_["sig"]).astype(np.int64).view(np.uint16)
             v, c, t = all_["v"].to_numpy(), all_["c"].to_numpy(), all_["t"].tolist()
 
             def bag(k: int) -> tuple:
+                nonlocal held
                 if k not in bags:
+                    if held > MOST_SHINGLES:
+                        bags.clear()
+                        held = 0
                     bags[k] = bag_of(shingle(t[k]))
+                    held += bags[k][2]
                 return bags[k]
 
             for x, cx, s, text in zip(few["v"], few["c"], few["sig"], few["t"]):
@@ -304,12 +316,13 @@ def classes(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each class: the one whose doc_id names it.  Documents without words and
     without doc_id stay; of repeated rows one stays.  Columns as given."""
-    found = classes(docs)
-    gone = (found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("class_id")))
-            .select(F.col("doc_id").alias(f"{OWN}gone")).distinct())
-    rows = docs.join(gone, F.col("doc_id") == F.col(f"{OWN}gone"), "left_anti")
-    once = rows.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return once.union(rows.where(F.col("doc_id").isNull()))
+    marked = (classes(docs).where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(f"{OWN}id"))
+              .agg(F.count(F.lit(1)).alias(f"{OWN}n"), F.bool_or(F.col("doc_id") != F.col("class_id")).alias(f"{OWN}gone"))
+              .where(F.col(f"{OWN}gone") | (F.col(f"{OWN}n") > 1)).checkpoint(eager=True))
+    same = F.col("doc_id") == F.col(f"{OWN}id")
+    alone = docs.join(marked, same, "left_anti")  # null doc_ids too
+    again = docs.join(marked.where(~F.col(f"{OWN}gone")), same, "left_semi").dropDuplicates(["doc_id"])
+    return alone.union(again)
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
