@@ -14,8 +14,8 @@ its pointwise mutual information log2(n(t, e) N / (n(t) n(e))) >= ``min_bits`` a
 identifiers to their kind and removes disclosing terms.
 
 Identifiers in fewer than ``min_support`` documents can't reach the support, so only the others
-meet the corpus counts; word counts are combined on the map side (one row per task and word).
-The identifiers found (a small table) are checkpointed, texts are read twice.
+meet the corpus counts; texts are exchanged once, to count each once, and word counts are combined
+on the map side (one row per task and word).  The identifiers found (a small table) are checkpointed.
 
 Defined cases: null or empty text has no spans; rows with equal doc_id and text get equal spans;
 an empty table gives an empty result; extra columns are ignored.
@@ -139,17 +139,13 @@ def term_spans(docs: DataFrame, found: DataFrame, min_support: int = MIN_SUPPORT
              .groupBy("ek", "ev", "n_e", "t").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= min_support))
     # documents with equal text count once: one row per text, then one per word and task
     wanted = joint.select(F.col("t").alias("wt")).distinct()
-    once = (docs.select(F.col("doc_id").alias(f"{OWN}i"), text_of().alias(f"{OWN}t"))
-            .select(F.explode(F.array_distinct(words_of(F.col(f"{OWN}t")))).alias("t")))
-    n_t = (once.groupBy("t").agg(F.count(F.lit(1)).alias("n_all")).join(wanted, F.col("t") == F.col("wt"), "left_semi")
-           .select(F.col("t").alias("nt"), "n_all"))
-    # occurrences in copies of one text are taken off for the documents that hold an entity near the term
-    copies = terms.select("doc_id", "hash", "t").distinct().groupBy("t").agg(
-        (F.count(F.lit(1)) - F.count_distinct("hash")).alias("again")).select(F.col("t").alias("ct"), "again")
-    total = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    strong = (joint.join(n_t, F.col("t") == F.col("nt")).join(copies, F.col("t") == F.col("ct"))
-              .withColumn("n_docs", F.lit(total.first()["n_docs"]).cast("double"))
-              .withColumn("n_t", F.greatest(F.col("n_te"), F.col("n_all") - F.col("again")))
+    text = text_of()
+    unlike = docs.select(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), text.alias("text")).dropDuplicates(["a", "b"])
+    once = unlike.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("t"))
+    n_t = (once.groupBy("t").agg(F.count(F.lit(1)).alias("n_t")).join(wanted, F.col("t") == F.col("wt"), "left_semi")
+           .select(F.col("t").alias("nt"), "n_t"))
+    n_docs = found.select("hash").distinct().count()
+    strong = (joint.join(n_t, F.col("t") == F.col("nt")).withColumn("n_docs", F.lit(float(n_docs)))
               .where((F.col("n_te") >= min_share * F.col("n_t"))
                      & (F.log2(F.col("n_te") * F.col("n_docs") / (F.col("n_t") * F.col("n_e"))) >= min_bits))
               .select(F.col("ek").alias("sk"), F.col("ev").alias("sv"), F.col("t").alias("st")))

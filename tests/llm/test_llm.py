@@ -218,6 +218,16 @@ def test_personal_data(docs, empty, spark):
     assert p.spans_of(empty).count() == 0
 
 
+def test_copies_of_a_text_count_once_for_terms(spark):
+    from carelens.llm import op09_pii as p
+    near = [f"note {i} about Zebulon a@b.org" for i in range(3)]
+    texts = near + ["Zebulon was seen elsewhere"] * 60 + [f"plain filler text {i}" for i in range(300)]
+    rows = rows_of(*texts) + [(None, *rows_of("Zebulon was seen elsewhere")[0][1:])] * 5
+    terms = by_id(p.spans_of(spark.createDataFrame(rows, SCHEMA).repartition(3)).where("doc_id < 3"))
+    at = near[0].index("Zebulon")
+    assert all((at, at + 7) in [(t.s, t.e) for t in terms[i].terms] for i in range(3))
+
+
 def test_pieces(docs, empty):
     import sentencepiece
     from carelens.llm import op10_pieces as p
