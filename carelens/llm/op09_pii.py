@@ -6,16 +6,20 @@ split() leaves between the matches.  The patterns are written with possessive re
 long run of digits or letters costs linear time and no recursion.
 
 Then the information-theoretic part.  Entities are the checked identifiers; a term is a word of
-at least ``min_chars`` within ``context`` code points of one.  Over the corpus (documents with
-equal text count once), n(t, e) is the number of documents where t stands near e, n(t) and n(e)
+at least ``min_chars`` that isn't part of one.  Over the corpus (documents with equal text count
+once), n(t, e) is the number of documents that hold both t and e, anywhere in them, n(t) and n(e)
 the documents holding t and e.  A term discloses e if P(e | t) = n(t, e) / n(t) >= ``min_share``,
 its pointwise mutual information log2(n(t, e) N / (n(t) n(e))) >= ``min_bits`` and n(t, e) >=
-``min_support``.  Its occurrences near e become spans of kind ``term``; ``sanitise`` generalises
-identifiers to their kind and removes disclosing terms.
+``min_support``.  A term that discloses any e becomes a span of kind ``term`` wherever it stands,
+in documents without e too; ``sanitise`` generalises identifiers to their kind and removes
+disclosing terms.
 
-Identifiers in fewer than ``min_support`` documents can't reach the support, so only the others
-meet the corpus counts; texts are exchanged once, to count each once, and word counts are combined
-on the map side (one row per task and word).  The identifiers found (a small table) are checkpointed.
+n(t, e) is at most n(t) and at most n(e), so words and identifiers in fewer than ``min_support``
+documents or in more than N / 2^min_bits can't pass, nor a pair with n(e) < ``min_share`` n(t):
+they are left out before pairs are made.  Texts are exchanged once, to count each once; word
+counts are combined on the map side (one row per task and word).  Occurrences are found in a map:
+a bit map of the terms' hashes (bounded size) picks words, an exact join confirms them.  The
+identifiers found and the words beside them are checkpointed.
 
 Defined cases: null or empty text has no spans; rows with equal doc_id and text get equal spans;
 an empty table gives an empty result; extra columns are ignored.
@@ -23,6 +27,8 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +44,9 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-MIN_SUPPORT, MIN_SHARE, MIN_BITS, CONTEXT, MIN_CHARS = 3, 0.5, 4.0, 64, 4
+MIN_SUPPORT, MIN_SHARE, MIN_BITS, MIN_CHARS = 3, 0.5, 4.0, 4
+BUCKETS = 1 << 18
+_PART = WORD + "+"
 
 
 def _digits(value: Column) -> Column:
@@ -83,24 +91,38 @@ def _found(kind: str, text: Column) -> Column:
     return F.coalesce(F.filter(placed, lambda x: _valid(kind, x.v)), F.expr(f"cast(array() as {span})"))
 
 
-def find(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """(doc_id, hash, spans): spans are (k, s, e, v, near) with the words around each."""
-    text = text_of()
-    spans = F.concat(*[_found(k, text) for k in KINDS])
+def _hash(text: Column) -> Column:
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+
+
+def _words_beside(text: Column, spans: Column) -> Column:
+    """The different words of a text that are not part of a span."""
+    def after(at: Column) -> Column:
+        return F.regexp_replace(F.substring(text, at + 1, F.length(text)), rf"\A{_PART}", "")
 
-    def around(x: Column) -> Column:
-        lo = F.greatest(F.lit(0), x.s - context)
-        return F.struct(x.k.alias("k"), x.s.alias("s"), x.e.alias("e"), x.v.alias("v"), lo.alias("lo"),
-                        F.substring(text, lo + 1, x.s - lo).alias("left"),
-                        F.substring(text, x.e + 1, F.lit(context)).alias("right"))
+    def step(acc: Column, x: Column) -> Column:
+        piece = F.substring(text, acc.at + 1, F.greatest(F.lit(0), x.s - acc.at))
+        whole = F.when(acc.at > 0, F.regexp_replace(piece, rf"\A{_PART}", "")).otherwise(piece)
+        return F.when(x.e <= acc.at, acc).otherwise(F.struct(x.e.alias("at"), F.concat(
+            acc.out, F.lit(" "), F.regexp_replace(whole, rf"(?<!{WORD[:-1]}){_PART}\z", "")).alias("out")))
 
-    return docs.select("doc_id", F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")).alias("hash"),
-                       F.transform(spans, around).alias("spans"))
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    places = F.array_sort(F.transform(spans, lambda x: F.struct(x.s.alias("s"), x.e.alias("e"))))
+    rest = F.aggregate(places, first, step, lambda acc: F.concat(acc.out, F.lit(" "), after(acc.at)))
+    return F.array_distinct(words_of(rest))
+
+
+def find(docs: DataFrame) -> DataFrame:
+    """(doc_id, hash, spans, words): spans are (k, s, e, v); words are those beside the spans, null
+    for a document without any."""
+    text = text_of()
+    rows = docs.select("doc_id", _hash(text).alias("hash"), text.alias("text"), F.concat(*[_found(k, text) for k in KINDS]).alias("spans"))
+    return rows.select("doc_id", "hash", "spans", F.when(F.size("spans") > 0, _words_beside(F.col("text"), F.col("spans"))).alias("words"))
 
 
-def _words_in(piece: Column, offset: Column) -> Column:
-    """Words of a piece with their places, without a word cut at either end of the piece."""
-    both = F.struct(words_of(piece).alias("w"), F.split(piece, WORD, -1).alias("gaps"))
+def _places(text: Column, some: Callable[[Column], Column]) -> Column:
+    """(t, s, e) of the words of a text for which ``some`` holds."""
+    both = F.struct(words_of(text).alias("w"), F.split(text, WORD, -1).alias("gaps"))
     empty = "array<struct<t:string,s:int,e:int>>"
 
     def place(b: Column) -> Column:
@@ -108,49 +130,56 @@ def _words_in(piece: Column, offset: Column) -> Column:
 
         def step(acc: Column, i: Column) -> Column:
             w, start = F.get(b.w, i), acc.at + F.length(F.get(b.gaps, i))
-            return F.struct((start + F.length(w)).alias("at"), F.concat(acc.out, F.array(F.struct(
-                w.alias("t"), (offset + start).alias("s"), (offset + start + F.length(w)).alias("e")))).alias("out"))
+            end = start + F.length(w)
+            return F.struct(end.alias("at"), F.when(some(w), F.concat(acc.out, F.array(F.struct(
+                w.alias("t"), start.alias("s"), end.alias("e"))))).otherwise(acc.out).alias("out"))
 
-        n = F.size(b.w)
-        return F.when(n > 0, F.aggregate(F.sequence(F.lit(0), n - 1), first, step, lambda a: a.out)).otherwise(
-            F.expr(f"cast(array() as {empty})"))
+        return F.when(F.exists(b.w, some), F.aggregate(F.sequence(F.lit(0), F.size(b.w) - 1), first, step, lambda a: a.out))
 
     return let(both, place)
 
 
-def term_spans(docs: DataFrame, found: DataFrame, min_support: int = MIN_SUPPORT, min_share: float = MIN_SHARE,
-               min_bits: float = MIN_BITS, min_chars: int = MIN_CHARS, context: int = CONTEXT) -> DataFrame:
-    """(doc_id, hash, terms): places (s, e) of the disclosing terms of each document."""
-    hits = found.where(F.size("spans") > 0).select("doc_id", "hash", F.explode("spans").alias("x"))
-    texts = hits.select("hash", F.col("x.k").alias("k"), F.col("x.v").alias("v")).distinct()
-    entities = (texts.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= min_support)
+def strong_terms(docs: DataFrame, found: DataFrame, min_support: int = MIN_SUPPORT, min_share: float = MIN_SHARE,
+                 min_bits: float = MIN_BITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """t: the words that disclose an identifier."""
+    n_docs = found.select("hash").distinct().count()
+    most = n_docs / 2 ** min_bits
+    held = found.where(F.size("spans") > 0).select("hash", "words", F.array_distinct(F.transform(
+        "spans", lambda x: F.struct(x.k.alias("k"), x.v.alias("v")))).alias("es")).dropDuplicates(["hash"])
+    hits = held.select("hash", F.explode("es").alias("x")).select("hash", F.col("x.k").alias("k"), F.col("x.v").alias("v"))
+    entities = (hits.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e").between(min_support, most))
                 .select(F.col("k").alias("ek"), F.col("v").alias("ev"), "n_e"))
-    near = hits.join(entities, (F.col("x.k") == F.col("ek")) & (F.col("x.v") == F.col("ev")))
-    # a word that touches the identifier or the edge of the context is not whole
-    left, right = F.col("x.left"), F.col("x.right")
-    kept = F.concat(
-        F.filter(_words_in(left, F.col("x.lo")), lambda w: (w.e < F.col("x.s")) & ((w.s > F.col("x.lo")) | (F.col("x.lo") == 0))),
-        F.filter(_words_in(right, F.col("x.e")), lambda w: (w.s > F.col("x.e")) & ((w.e < F.col("x.e") + F.length(right))
-                                                                                 | (F.length(right) < context))))
-    terms = (near.select("doc_id", "hash", "ek", "ev", "n_e", F.explode(kept).alias("w"))
-             .select("doc_id", "hash", "ek", "ev", "n_e", F.col("w.t").alias("t"), F.col("w.s").alias("s"), F.col("w.e").alias("e"))
-             .where(F.length("t") >= min_chars))
-    joint = (terms.select("hash", "ek", "ev", "n_e", "t").distinct()
-             .groupBy("ek", "ev", "n_e", "t").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= min_support))
+    near = (hits.join(entities, (F.col("k") == F.col("ek")) & (F.col("v") == F.col("ev")))
+            .groupBy(F.col("hash").alias("nh")).agg(F.collect_list(F.struct("ek", "ev", "n_e")).alias("near")))
     # documents with equal text count once: one row per text, then one per word and task
-    wanted = joint.select(F.col("t").alias("wt")).distinct()
     text = text_of()
-    unlike = docs.select(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), text.alias("text")).dropDuplicates(["a", "b"])
-    once = unlike.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("t"))
-    n_t = (once.groupBy("t").agg(F.count(F.lit(1)).alias("n_t")).join(wanted, F.col("t") == F.col("wt"), "left_semi")
+    once = docs.select(_hash(text).alias("hash"), text.alias("text")).select("hash.a", "hash.b", "text").dropDuplicates(["a", "b"])
+    n_t = (once.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("t")).where(F.length("t") >= min_chars)
+           .groupBy("t").agg(F.count(F.lit(1)).alias("n_t")).where(F.col("n_t").between(min_support, most))
            .select(F.col("t").alias("nt"), "n_t"))
-    n_docs = found.select("hash").distinct().count()
-    strong = (joint.join(n_t, F.col("t") == F.col("nt")).withColumn("n_docs", F.lit(float(n_docs)))
-              .where((F.col("n_te") >= min_share * F.col("n_t"))
-                     & (F.log2(F.col("n_te") * F.col("n_docs") / (F.col("n_t") * F.col("n_e"))) >= min_bits))
-              .select(F.col("ek").alias("sk"), F.col("ev").alias("sv"), F.col("t").alias("st")))
-    out = terms.join(strong, (F.col("ek") == F.col("sk")) & (F.col("ev") == F.col("sv")) & (F.col("t") == F.col("st")), "left_semi")
-    return out.groupBy("doc_id", "hash").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("terms"))
+    words = (held.select("hash", "words").join(near, F.col("hash") == F.col("nh"))
+             .select("near", F.explode("words").alias("t")).where(F.length("t") >= min_chars))
+    pairs = (words.join(n_t, F.col("t") == F.col("nt"))
+             .select("t", "n_t", F.explode(F.filter("near", lambda x: x.n_e >= min_share * F.col("n_t"))).alias("x")))
+    joint = pairs.groupBy("t", "n_t", "x").agg(F.count(F.lit(1)).alias("n_te"))
+    n_e = F.col("x.n_e")
+    return joint.where((F.col("n_te") >= min_support) & (F.col("n_te") >= min_share * F.col("n_t"))
+                       & (F.log2(F.col("n_te") * F.lit(float(n_docs)) / (F.col("n_t") * n_e)) >= min_bits)).select("t").distinct()
+
+
+def term_spans(docs: DataFrame, found: DataFrame, **options) -> DataFrame:
+    """(doc_id, hash, terms): places (s, e) of the disclosing terms of each document."""
+    strong = strong_terms(docs, found, **options).checkpoint(eager=True)
+    bucket = lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS))
+    bits = [0] * (BUCKETS // 32)
+    for r in strong.select(bucket(F.col("t")).alias("b")).distinct().collect():  # bounded
+        bits[r.b // 32] |= 1 << r.b % 32
+    table = F.split(F.lit(",".join(map(str, bits))), ",").cast("array<long>")
+    may = lambda w: let(bucket(w), lambda b: F.getbit(F.get(table, F.shiftright(b, 5).cast("int")), F.pmod(b, F.lit(32)).cast("int")) == 1)
+    text = text_of()
+    at = docs.select("doc_id", _hash(text).alias("hash"), F.explode(_places(text, may)).alias("w")).select("doc_id", "hash", "w.*")
+    at = at.join(strong.select(F.col("t").alias("st")), F.col("t") == F.col("st"), "left_semi")
+    return at.groupBy("doc_id", "hash").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("terms"))
 
 
 def spans_of(docs: DataFrame, **options) -> DataFrame:
@@ -158,7 +187,7 @@ def spans_of(docs: DataFrame, **options) -> DataFrame:
     found = find(docs).checkpoint(eager=True)
     terms = term_spans(docs, found, **options).select(F.col("doc_id").alias("td"), F.col("hash").alias("th"), "terms")
     rows = found.join(terms, equal_keys(found, terms, [("doc_id", "td"), ("hash", "th")]), "left")
-    # a term inside an identifier is already covered
+    # a word that is part of an identifier is already covered
     free = F.filter("terms", lambda t: ~F.exists("spans", lambda x: (t.s < x.e) & (t.e > x.s)))
     return rows.select("doc_id", "hash", "spans", F.coalesce(free, F.expr("cast(array() as array<struct<s:int,e:int>>)")).alias("terms"))
 

@@ -228,6 +228,20 @@ def test_copies_of_a_text_count_once_for_terms(spark):
     assert all((at, at + 7) in [(t.s, t.e) for t in terms[i].terms] for i in range(3))
 
 
+def test_terms_are_paired_in_whole_documents_and_marked_everywhere(spark):
+    from carelens.llm import op09_pii as p
+    far = [f"Zebulon heads page {i} " + "and so on " * 30 + f"write to (a@b.org), Zebulon {'x' * i}" for i in range(4)]
+    texts = far + ["no identifier but Zebulon, Zebulon Zebulonia"] + [f"plain filler text heads page and write {i}" for i in range(300)]
+    small = spark.createDataFrame(rows_of(*texts), SCHEMA).repartition(3)
+    terms = by_id(p.spans_of(small).where("size(terms) > 0"))
+    assert set(terms) == set(range(5))
+    for d in terms:
+        want = [m.span() for m in brute.WORD.finditer(texts[d]) if m[0] == "Zebulon"]
+        assert [(t.s, t.e) for t in terms[d].terms] == want, d
+    clean = by_id(p.sanitise(small))
+    assert clean[4].text == "no identifier but Zebulon,  Zebulonia"
+
+
 def test_pieces(docs, empty):
     import sentencepiece
     from carelens.llm import op10_pieces as p
