@@ -7,6 +7,7 @@ calibrated on the sample: visits widen until the queries of a calibration set re
 ``recall``, and for each query further until its leaves hold enough rows.  The tree has a
 bounded number of leaves, so what goes to the tasks (centres, leaf sizes) is bounded as well.
 
+Equal rows become one before anything is counted, and the k best are cut over ids, not rows.
 Queries and rows meet on (leaf, block): leaves are cut into blocks of about ``BLOCK`` rows, and
 the queries of a leaf likewise, so a leaf that holds a third of all vectors (one common vector)
 is many small groups.  A group sends on at most k rows per query, ties resolved by vec_id on
@@ -98,16 +99,19 @@ class Tree:
                 heapq.heappush(queue, (-close, tick, child))
 
 
-def calibrate(tree: Tree, x: np.ndarray, k: int, recall: float = RECALL, queries: int = 300) -> int:
-    """Leaf visits at which the k nearest of the sample's first vectors are found at ``recall``."""
+def calibrate(tree: Tree, x: np.ndarray, ids: np.ndarray, k: int, recall: float = RECALL, queries: int = 300) -> int:
+    """Leaf visits at which the k nearest ids of the sample's first vectors are found at ``recall``."""
     leaf = tree.leaf_of(x)
     need = []
     for i in range(min(queries, len(x))):
-        close = x @ x[i]
-        close[i] = -np.inf
-        top = np.argpartition(-close, min(k, len(x) - 1) - 1)[:k]
+        top: dict[int, int] = {}
+        for t in np.argsort(-(x @ x[i]), kind="stable"):
+            if ids[t] != ids[i]:
+                top.setdefault(ids[t], t)
+                if len(top) == k:
+                    break
         place = {v: n for n, v in enumerate(tree.visit(x[i]), 1)}
-        need += [place[leaf[t]] for t in top if t != i]
+        need += [place[leaf[t]] for t in top.values()]
     return int(np.quantile(need, recall, method="higher")) if need else 1
 
 
@@ -122,15 +126,15 @@ def usable(vectors: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each vec_id divisible by ``every``."""
     spark = vectors.sparkSession
-    rows = usable(vectors)
-    got = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(sample).collect()  # bounded
+    rows = usable(vectors).dropDuplicates()
+    got = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id", "e").limit(sample).collect()  # bounded
     schema = "query_id long, rank int, vec_id long, score double"
     if not got:
         return spark.createDataFrame([], schema)
     dim = Counter(len(r.e) for r in got).most_common(1)[0][0]
     x = unit(np.array([r.e for r in got if len(r.e) == dim]))
     tree = Tree(x)
-    visits = calibrate(tree, x, k)
+    visits = calibrate(tree, x, np.array([r.vec_id for r in got if len(r.e) == dim]), k)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -143,6 +147,9 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPL
     placed = rows.where(F.size("e") == dim).mapInArrow(assign, "vec_id long, leaf int, e binary").checkpoint(eager=True)
     held = {r.leaf: r["count"] for r in placed.groupBy("leaf").count().collect()}  # one row per leaf
     sizes = [held.get(i, 0) for i in range(tree.leaves)]
+    # an id with several vectors counts in the first of its leaves only: no id is seen twice
+    own = placed.groupBy("vec_id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").count()
+    ids_in = {r.leaf: r["count"] for r in own.collect()}
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -150,10 +157,10 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPL
             for q, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 seen = 0
                 for n, leaf in enumerate(tree.visit(unit(np.frombuffer(data)))):
-                    if n >= visits and seen > k:
+                    if n >= visits and seen > k:  # k ids besides the query's
                         break
                     if sizes[leaf]:
-                        seen += sizes[leaf]
+                        seen += ids_in.get(leaf, 0)
                         ids.append(q)
                         leaves.append(leaf)
                         es.append(data)
@@ -180,9 +187,11 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPL
     def meet(queries: pd.DataFrame, rows_: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, float]] = []
         if len(queries) and len(rows_):
+            rows_ = rows_.sort_values("vec_id", kind="stable")
             a = np.frombuffer(b"".join(rows_["e"]), np.float64).reshape(len(rows_), -1)
             ids, norms = rows_["vec_id"].to_numpy(), np.sqrt((a * a).sum(1))
             ua = a / norms[:, None]
+            firsts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
             for s in range(0, len(queries), 256):
                 part = queries.iloc[s:s + 256]
                 q = np.frombuffer(b"".join(part["qe"]), np.float64).reshape(len(part), -1)
@@ -190,7 +199,8 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPL
                 close = (q / nq[:, None]) @ ua.T
                 for m, query in enumerate(part["query_id"]):
                     c = np.where(ids == query, -np.inf, close[m])
-                    edge = np.partition(c, -k)[-k] if len(c) > k else -np.inf
+                    best_of = np.maximum.reduceat(c, firsts)  # one score per vec_id
+                    edge = np.partition(best_of, -k)[-k] if len(best_of) > k else -np.inf
                     near = np.flatnonzero((c >= edge - 1e-9) & (c > -np.inf))
                     exact = (a[near] * q[m]).sum(1) / (norms[near] * nq[m])
                     best = np.lexsort((ids[near], -exact))

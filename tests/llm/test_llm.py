@@ -181,6 +181,19 @@ def test_nearest(spark):
     assert len(few) == 2
 
 
+def test_nearest_cuts_over_ids_not_rows(spark):
+    from carelens.llm.op07_ann import nearest
+    r = np.random.default_rng(1)
+    x = r.normal(size=(30, 8))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x) for _ in range(2)]
+    # id 100 stands close to query 0 with eight vectors, one of them five times
+    rows += [(100, (x[0] + 0.01 * (j + 1) * x[1]).tolist(), 1) for j in [*range(8), 0, 0, 0, 0]]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).where("query_id = 0").orderBy("rank").collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = [i for i in np.argsort(-(u @ u[0]), kind="stable") if i][:4]
+    assert [v.vec_id for v in got] == [100, *want]
+
+
 def test_bagminhash_is_unbiased():
     from carelens.llm.op08_near import signatures
     r = np.random.default_rng(1)
