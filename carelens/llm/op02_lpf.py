@@ -15,6 +15,11 @@ their first 100 bytes, and the longest previous factor of a window reaches 100 e
 previous smaller position in suffix order - ties standing by position - shares that rank.  A
 task works through its owners in sorted pieces of bounded size, cut between owners.
 
+An owner with more than ``CROWD`` runs (a phrase shorter than a window, with other text
+around it each time) would be one large piece.  Its windows are dealt one by one, by a 128-bit
+hash of their 100 bytes: equal windows still meet, the others spread.  Of equal windows only the
+first of a batch of documents is sent on; all but the first by place are removed.
+
 Rows are named by their place in the table (monotonically_increasing_id over the scan), so
 ``docs`` must be a stored table, whose scan gives the same rows in the same partitions each time.
 
@@ -44,6 +49,7 @@ SLIDE = WIDTH - GRAM  # an owner starts 0..SLIDE bytes into its window
 BATCH_BYTES = 4 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 PLACE = (1 << 24) - 1
+CROWD = 20_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -207,18 +213,48 @@ def _edges(rows: DataFrame) -> DataFrame:
     return spread.select("h", "row", "lo", "data").mapInArrow(work, "row long, lo int, n int")
 
 
-def repeated(docs: DataFrame) -> DataFrame:
+def _crowded(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, row, want, text), want: (h, lo, n) of runs of crowded owners -> (row, lo, n)
+    of windows that start earlier."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part, first, out = batch.slice(at, 512), {}, []
+                few = list(zip(*(part.column(k).to_pylist() for k in range(4))))
+                few.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+                for doc_id, row, want, text in few:
+                    data = text.encode("utf-8", "surrogatepass")
+                    for lo in sorted(x for w in want for x in range(w["lo"], w["lo"] + w["n"])):
+                        key = hashlib.blake2b(data[lo:lo + WIDTH], digest_size=16).digest()
+                        out.append((None if key in first else key, doc_id, row, lo))
+                        first.setdefault(key, True)
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(
+                    (pa.binary(), pa.int64(), pa.int64(), pa.int32()))], names=["key", "doc_id", "row", "lo"])
+
+    windows = rows.mapInArrow(work, "key binary, doc_id long, row long, lo int").select(
+        F.col("key").isNull().alias("again"), F.coalesce("key", F.concat_ws(" ", "row", "lo").cast("binary")).alias("key"), "doc_id", "row", "lo")
+    same = Window.partitionBy("key").orderBy("again", F.col("doc_id").asc_nulls_first(), "row", "lo")
+    return (windows.withColumn("k", F.row_number().over(same)).where(F.col("again") | (F.col("k") > 1))
+            .select("row", "lo", F.lit(1).alias("n")))
+
+
+def repeated(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(row, spans): per document with any, the (lo, n) window ranges that start earlier.
     ``docs``: doc_id, row, text."""
     found = find_runs(docs.select("doc_id", "row", "text"))
     same = Window.partitionBy("h", "c").orderBy(F.col("doc_id").asc_nulls_first(), "row", "lo")
     owner = Window.partitionBy("h")
     marked = (found.withColumn("k", F.row_number().over(same))
-              .withColumn("several", F.min("c").over(owner) != F.max("c").over(owner)))
+              .withColumn("several", F.min("c").over(owner) != F.max("c").over(owner))
+              .withColumn("crowded", F.count("c").over(owner) > crowd))
     state = F.when(F.col("c").isNull() | (F.col("k") > 1), 1).when(F.col("several"), 0)
     kept = (marked.withColumn("known", state).where(F.col("known").isNotNull())
-            .select("row", "doc_id", "lo", "n", "known", F.when(F.col("known") == 0, F.col("h")).alias("h")).checkpoint(eager=True))
-    open_ = kept.where(F.col("known") == 0).groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("h", "lo", "n")).alias("want"))
+            .withColumn("known", F.when((F.col("known") == 0) & F.col("crowded"), 2).otherwise(F.col("known")))
+            .select("row", "doc_id", "lo", "n", "known", F.when(F.col("known") != 1, F.col("h")).alias("h")).checkpoint(eager=True))
+    wanted = F.struct("h", "lo", "n")
+    open_ = kept.where(F.col("known") != 1).groupBy(F.col("row").alias("r")).agg(
+        F.collect_list(F.when(F.col("known") == 0, wanted)).alias("want"), F.collect_list(F.when(F.col("known") == 2, wanted)).alias("crowd"))
     # the same exchange of texts by row serves here and for the result: equal columns, equal order
     with_text = docs.join(open_, F.col("row") == F.col("r"))
 
@@ -233,19 +269,21 @@ def repeated(docs: DataFrame) -> DataFrame:
                     pa.array([data[w["lo"]:w["lo"] + w["n"] + WIDTH - 1] for w in want], pa.binary())],
                     names=["h", "doc_id", "row", "lo", "data"])
 
-    pieces = with_text.select("row", "doc_id", "want", "text").mapInArrow(cut, "h long, doc_id long, row long, lo int, data binary")
+    pieces = with_text.where(F.size("want") > 0).select("row", "doc_id", "want", "text").mapInArrow(cut, "h long, doc_id long, row long, lo int, data binary")
     every = kept.where(F.col("known") == 1).select("row", "lo", "n").union(_edges(pieces))
+    if kept.where(F.col("known") == 2).limit(1).count():
+        every = every.union(_crowded(with_text.where(F.size("crowd") > 0).select("doc_id", "row", "crowd", "text")))
     return every.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("lo", "n"))).alias("spans")).select(F.col("row").alias("sr"), "spans")
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
-def without_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
+def without_repeats(docs: DataFrame, with_bytes: bool = True, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes (null without
     ``with_bytes``) of every document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text_of().alias("text"))
-    spans = repeated(rows)
+    spans = repeated(rows, crowd)
     both = rows.join(spans, F.col("row") == F.col("sr"), "left").select("doc_id", "text", "spans.lo", "spans.n")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

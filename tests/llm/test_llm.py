@@ -94,6 +94,22 @@ def test_suffix_dedup(docs, empty):
     assert [[bool(x) for x in f] for f in longest_previous(pieces)] == [[bool(x) for x in f] for f in expect]
 
 
+def test_suffix_dedup_spreads_a_crowded_owner(spark, tmp_path, monkeypatch):
+    from carelens.llm import op02_lpf as p
+    r, phrase, most = random.Random(2), "licensed under the terms that are printed at the foot of this page only", []
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(7))
+    tails = [f"{word()} {word()} {word()} {word()}" for _ in range(5)]
+    texts = [" ".join([word() for _ in range(12)] + [phrase, r.choice(tails)] + [word() for _ in range(12)]) for _ in range(200)]
+    spark.createDataFrame(rows_of(*texts, None, texts[3]), SCHEMA).repartition(3).write.parquet(str(tmp_path / "d"))
+    edges = p._edges
+    monkeypatch.setattr(p, "_edges", lambda rows: most.append(max([x["count"] for x in rows.groupBy("h").count().collect()], default=0)) or edges(rows))
+    want = brute.lpf_removal(list(enumerate([*texts, None, texts[3]])))
+    for crowd in ({"crowd": 20}, {}):
+        got = by_id(p.without_repeats(spark.read.parquet(str(tmp_path / "d")), **crowd))
+        assert {d: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for d, x in got.items()} == want
+    assert most[0] <= 20 < most[1]
+
+
 def test_rules(docs, empty):
     from carelens.llm.op03_rules import judged
     got = by_id(judged(docs))
