@@ -1,8 +1,9 @@
 """Token counts of whole texts by a given tokenizer, huge documents by overlap resynchronisation.
 
-In a document up to ``chunk`` code points, ASCII white space is such a place throughout: no
-pre-token, special token or normalisation reaches across it, so the count is the sum over its
-words, and words seen before are remembered (bounded).  A longer document is encoded in
+In a document up to ``chunk`` code points, ASCII white space is such a place throughout if the
+tokenizer drops it: no pre-token, special token or normalisation reaches across it, so the count is
+the sum over its words, and words seen before are remembered (bounded).  With a tokenizer that
+keeps white space (byte-level ones) the document is encoded whole.  A longer document is encoded in
 chunks that overlap; two neighbours are spliced where both have a token boundary at the same
 place, proven stable: the boundary lies at white space (no pre-token, special token or
 normalisation reaches across it), and the ``agree`` tokens on either side are the same in both.
@@ -62,6 +63,20 @@ def load(path: str):
     return _LOADED[path]
 
 
+def drops_blanks(tokenizer) -> bool:
+    """Whether ASCII white space only parts pre-tokens and is in none of them."""
+    words, text = [], ""
+    for k, blank in enumerate(c * n for c in " \t\n\x0b\x0c\r" for n in (1, 2)):
+        words.append("ab" if k % 2 else "cd")
+        text += blank + words[-1]
+    text += " \n"
+    if tokenizer.normalizer is not None:
+        text = tokenizer.normalizer.normalize_str(text)
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    return (tokenizer.pre_tokenizer is not None and not any(c.isspace() for t in added for c in t)
+            and [w for w, _ in tokenizer.pre_tokenizer.pre_tokenize_str(text)] == words)
+
+
 def _encode(tokenizer, text: str, start: int) -> list[tuple[int, int, int]]:
     """(id, from, to) with places in the whole document."""
     e = tokenizer.encode(text, add_special_tokens=False)
@@ -137,7 +152,7 @@ def counter(path: str | None = None, chunk: int = CHUNK):
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = load(path or default_tokenizer())
-        words = WordCounts(tokenizer)
+        words = WordCounts(tokenizer) if drops_blanks(tokenizer) else lambda texts: [len(_encode(tokenizer, t, 0)) for t in texts]
         for texts in batches:
             out = []
             for k in range(0, len(texts), 256):

@@ -172,6 +172,17 @@ def test_token_counts(docs, empty):
     assert t.token_counts(empty).count() == 0
 
 
+def test_token_counts_of_a_tokenizer_that_keeps_blanks(docs):
+    import public_tokenizers
+    from carelens.llm import op06_tokens as p
+    assert p.drops_blanks(p.load(p.default_tokenizer()))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, got = p.load(path), by_id(p.token_counts(docs, path))
+    assert not p.drops_blanks(tokenizer)
+    for d, text, *_ in awkward():
+        assert got[d].n_tokens == len(tokenizer.encode(text or "", add_special_tokens=False).ids), d
+
+
 def test_nearest(spark):
     from carelens.llm.op07_ann import nearest
     r = np.random.default_rng(0)
