@@ -38,4 +38,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    from carelens.plans.registry import REGISTRY
+    assert set(REGISTRY) <= set(ORACLE)
