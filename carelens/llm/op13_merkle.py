@@ -2,15 +2,15 @@
 
 A row's leaf is the SHA-256 of its fields, each with its length in front.  The leaves of a source,
 by doc_id, are hashed up in runs of ``FAN`` to a subroot; the subroots, by source, to the root.
-Nodes are stored by content: one record (digest, children) per distinct node, written by height,
-so equal subtrees are one record.
+Records are found by content, the digest of their node, so equal subtrees are one record.
 
 A leaf's proof is found by going down, not up: the requests start together at the root and go
-down by the base-``FAN`` digits of their ranks, each step one join of the wanted digests with the
-records of one height.  Requests with a common prefix travel as one row until their digits part,
-so no digest is asked for by more rows than it has places in the trees.  What a step passes by
-(the children before and after the chosen one) is a segment of the path; the segments reversed are
-the proof, and folding a leaf with them must give the root.
+down by the base-``FAN`` digits of their ranks.  A record keeps the children below its node for up to
+``LEVELS`` heights, so a step is one join of the wanted digests with the records and passes as many
+digits.  Requests with a common prefix travel as one row until their digits part, so no digest is
+asked for by more rows than it has places in the trees.  What a step passes by (the children before
+and after the chosen one) is a segment of the path; the segments reversed are the proof, and folding
+a leaf with them must give the root.
 
 Ranks come from one range partitioning by (source, doc_id), with offsets per range, so a source
 with a third of all rows is many partitions and no task sees a whole group.  Trees grow
@@ -65,58 +65,53 @@ def _depth(n: Column) -> Column:
     return F.size(F.filter(F.array(*[F.lit(p) for p in POWERS]), lambda p: p < n))
 
 
-def _above(digests: Column, height: int, wanted: Column) -> Column:
-    """The nodes over runs of ``FAN`` digests; none unless ``wanted``."""
-    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(digests) - 1) / FAN).cast("int")),
-                       lambda i: F.slice(digests, i * FAN + 1, F.lit(FAN)))
-    return F.transform(F.filter(runs, lambda _: wanted), lambda c: F.struct(
-        F.lit(height).alias("height"), F.unhex(F.sha2(_joined(c), 256)).alias("digest"), c.alias("children")))
+def _runs(digests: Column) -> Column:
+    """The digests of the nodes over runs of ``FAN``."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(digests) - 1) / FAN).cast("int")),
+                       lambda i: F.unhex(F.sha2(_joined(F.slice(digests, i * FAN + 1, F.lit(FAN))), 256)))
 
 
 @dataclass
 class Trees:
-    """Grown trees: ``roots`` (tree, digest, depth) and the ``nodes`` (height, digest, children)."""
+    """Grown trees: ``roots`` (tree, digest, depth) and per ``LEVELS`` heights, from the leaves up, the
+    records (digest, levels): the children below a node, level by level, the lowest first."""
 
     roots: DataFrame
-    nodes: DataFrame
-    deepest: int
+    records: list[DataFrame]
 
 
 def grow(leaves: DataFrame, folder: str) -> Trees:
     """Trees over ``leaves`` (tree, idx from 0, digest binary, depth); records written to ``folder``."""
     spark = leaves.sparkSession
     deepest = leaves.agg(F.max("depth")).first()[0] or 0
-    done = [leaves.where(F.col("depth") == 0).select("tree", "digest", "depth")]
-    level, made = leaves.select("tree", "idx", "digest", "depth"), []
+    roots, records = leaves.where(F.col("depth") == 0).select("tree", "digest", "depth"), []
+    level = leaves.select("tree", "idx", "digest", "depth")
     for height in range(0, deepest, LEVELS):
         rows = (level.where(F.col("depth") > height)
                 .groupBy("tree", "depth", F.floor(F.col("idx") / BLOCK).alias("block"))
                 .agg(F.sort_array(F.collect_list(F.struct("idx", "digest"))).alias("some"))
                 .select("tree", "depth", "block", F.col("some.digest").alias("a0")))
         for k in range(1, LEVELS + 1):
-            here = F.col("depth") >= height + k
-            rows = rows.withColumn(f"n{k}", _above(F.col(f"a{k - 1}"), height + k, here))
-            rows = rows.withColumn(f"a{k}", F.when(here, F.col(f"n{k}.digest")).otherwise(F.col(f"a{k - 1}")))
-        out = f"{folder}/blocks-{height}"
-        rows.select("tree", "depth", F.col("block").alias("idx"), F.get(f"a{LEVELS}", F.lit(0)).alias("digest"),
-                    F.concat(*[F.col(f"n{k}") for k in range(1, LEVELS + 1)]).alias("nodes")).write.parquet(out)
+            rows = rows.withColumn(f"a{k}", _runs(F.col(f"a{k - 1}")))
+        steps, out = F.least(F.lit(LEVELS), F.col("depth") - height), f"{folder}/{height}"
+        every = F.array(*[F.col(f"a{k}") for k in range(LEVELS + 1)])
+        rows.select("tree", "depth", F.col("block").alias("idx"), F.get(F.get(every, steps), F.lit(0)).alias("digest"),
+                    F.slice(every, 1, steps).alias("levels")).write.parquet(out)
         level = spark.read.parquet(out)
-        made.append(level.select(F.explode("nodes").alias("node")).select("node.*"))
-        done.append(level.where(F.col("depth") <= height + LEVELS).select("tree", "digest", "depth"))
-    roots = done[0]
-    for more in done[1:]:
-        roots = roots.union(more)
-    none = spark.createDataFrame([], "height int, digest binary, children array<binary>")
-    for more in made:
-        none = none.union(more)
-    none.distinct().write.partitionBy("height").parquet(f"{folder}/nodes")
-    return Trees(roots, spark.read.schema(none.schema).parquet(f"{folder}/nodes"), deepest)
+        records.append(level.select("digest", "levels").distinct())
+        roots = roots.union(level.where(F.col("depth") <= height + LEVELS).select("tree", "digest", "depth"))
+    return Trees(roots, records)
 
 
-def _passed(children: Column, pos: Column) -> Column:
-    """The children before and after the chosen one."""
-    return F.struct(F.unhex(_joined(F.slice(children, F.lit(1), pos))).alias("before"),
-                    F.unhex(_joined(F.slice(children, pos + 2, F.lit(FAN)))).alias("after"))
+def _passed(levels: Column, leaf: Column) -> Column:
+    """Segments of the way down to place ``leaf`` of the lowest level: the children before and after the chosen one."""
+    def segment(k: Column) -> Column:
+        width = F.pow(F.lit(FAN), k)
+        run, pos = F.floor(leaf / (width * FAN)).cast("int"), (F.floor(leaf / width) % FAN).cast("int")
+        children = F.slice(F.get(levels, k), run * FAN + 1, F.lit(FAN))
+        return F.struct(F.unhex(_joined(F.slice(children, F.lit(1), pos))).alias("before"),
+                        F.unhex(_joined(F.slice(children, pos + 2, F.lit(FAN)))).alias("after"))
+    return F.when(F.size(levels) > 0, F.transform(F.sequence(F.size(levels) - 1, F.lit(0), F.lit(-1)), segment)).otherwise(F.array().cast(SEGMENTS))
 
 
 def proofs(requests: DataFrame, trees: Trees, above: DataFrame | None = None) -> DataFrame:
@@ -127,25 +122,23 @@ def proofs(requests: DataFrame, trees: Trees, above: DataFrame | None = None) ->
     if above is not None:
         known = above.select(F.col("tree").alias("above_tree"), "path")
         start = trees.roots.join(known, F.col("tree") == F.col("above_tree")).select("tree", "digest", "depth", "path")
-    lone = start.where(F.col("depth") == 0).select(
-        "tree", F.lit(0).cast("long").alias("idx"), F.array("digest").alias("children"), "path", F.lit(True).alias("lone"))
-    way, last = None, lone
-    for height in range(trees.deepest, 0, -1):
-        entering = start.where(F.col("depth") == height).select("tree", F.lit(0).cast("long").alias("idx"), "digest", "path")
+    at_root = [F.col("tree"), F.lit(0).cast("long").alias("idx"), F.col("digest"), F.col("path")]
+    last = start.where(F.col("depth") == 0).select(*at_root[:2], F.array().cast("array<array<binary>>").alias("levels"), "path")
+    way = None
+    for r in reversed(range(len(trees.records))):
+        entering = start.where((F.col("depth") > r * LEVELS) & (F.col("depth") <= (r + 1) * LEVELS)).select(*at_root)
         way = entering if way is None else way.union(entering)
-        records = trees.nodes.where(F.col("height") == height).select(F.col("digest").alias("wanted"), "children")
-        met = way.join(records, F.col("digest") == F.col("wanted")).select("tree", "idx", "children", "path")
-        if height == 1:
-            last = met.withColumn("lone", F.lit(False)).union(lone)
+        records = trees.records[r].select(F.col("digest").alias("wanted"), "levels")
+        met = way.join(records, F.col("digest") == F.col("wanted")).select("tree", "idx", "levels", "path")
+        if r == 0:
+            last = last.union(met)
             break
-        way = met.select("tree", "idx", "path", "children", F.posexplode("children").alias("pos", "digest")).select(
-            "tree", (F.col("idx") * FAN + F.col("pos")).alias("idx"), "digest",
-            F.concat("path", F.array(_passed(F.col("children"), F.col("pos")))).alias("path"))
-    last = last.select(F.col("tree").alias("to_tree"), F.col("idx").alias("to_idx"), "children", "path", "lone")
-    found = requests.join(last, (F.col("tree") == F.col("to_tree")) & (F.floor(F.col("rank") / FAN) == F.col("to_idx")))
-    pos = (F.col("rank") % FAN).cast("int")
-    return found.select(*requests.columns, F.when(F.col("lone"), F.col("path")).otherwise(
-        F.concat("path", F.array(_passed(F.col("children"), pos)))).alias("path"))
+        way = met.select("tree", "idx", "path", "levels", F.posexplode(F.get("levels", F.lit(0))).alias("pos", "digest")).select(
+            "tree", (F.col("idx") * BLOCK + F.col("pos")).alias("idx"), "digest",
+            F.concat("path", _passed(F.col("levels"), F.col("pos"))).alias("path"))
+    last = last.select(F.col("tree").alias("to_tree"), F.col("idx").alias("to_idx"), "levels", "path")
+    found = requests.join(last, (F.col("tree") == F.col("to_tree")) & (F.floor(F.col("rank") / BLOCK) == F.col("to_idx")))
+    return found.select(*requests.columns, F.concat("path", _passed(F.col("levels"), F.col("rank") % BLOCK)).alias("path"))
 
 
 def proof_text(path: Column) -> Column:

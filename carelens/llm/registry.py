@@ -14,10 +14,11 @@ from .op09_pii import op9_personal_data
 from .op10_pieces import op10_sentencepiece
 from .op11_packing import op11_best_fit_packing
 
+from .op12_repair import op12_conversation_repair
 from .op13_merkle import op13_merkle_manifest
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mix, op2_suffix_dedup, op3_quality_rules, op4_quality_classifier, op5_line_dedup, op6_token_counts,
     op7_nearest_vectors, op8_near_duplicates, op9_personal_data, op10_sentencepiece,
-    op11_best_fit_packing, op13_merkle_manifest)}
+    op11_best_fit_packing, op12_conversation_repair, op13_merkle_manifest)}
 ORACLE = {"op5_line_dedup": OP5_SQL}
