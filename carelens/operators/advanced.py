@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import admission_month, collated, avg_int1, avg_money, cost_per_day, money
-from ..plans.ordering import rank_lookup
+from ..plans.quantiles import rank_lookup
 
 PERCENTILES = [("p25", "0.25"), ("median", "0.50"), ("p75", "0.75"), ("p90", "0.90"), ("p99", "0.99")]
 
@@ -19,7 +19,7 @@ def order_stat_percentiles(v: DataFrame, key: str = "MedicalCondition",
     """Per group, the value at row ``GREATEST(1, FLOOR(total * p))`` of the ascending order
     (NULLs first, counted in total), plus ``iqr = round(p75 - p25, 2)``.
 
-    Exact, and no group is ever sorted inside a single task (see plans.ordering).
+    Exact, and no group is ever sorted inside a single task (see plans.quantiles).
     """
     def targets(n):
         return [(name, F.greatest(F.lit(1).cast("long"),

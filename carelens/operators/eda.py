@@ -1,6 +1,6 @@
 """Exploratory summaries: group statistics with medians, describe, pivot tables,
 means by group, outlier flags and shares, value counts, age bins, histograms and
-box-plot statistics.  Quantiles are exact (see plans.ordering)."""
+box-plot statistics.  Quantiles are exact (see plans.quantiles)."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import avg_money, cost_per_day, money
-from ..plans.ordering import interpolated_quantiles
+from ..plans.quantiles import boxes, quantiles
 from ..schema import AGE_BANDS, CONDITIONS, OLDEST_BAND
 
 QUARTILES = [("q1", "0.25"), ("median", "0.50"), ("q3", "0.75")]
@@ -20,29 +20,27 @@ VALUE_COUNT_COLUMNS = ["MedicalCondition", "InsuranceProvider", "AdmissionType",
 
 def group_stats(df: DataFrame, key: str = "InsuranceProvider", col: str = "BillingAmount") -> DataFrame:
     """mean, median (interpolated) and sample std dev per group, rounded to 2."""
-    med = interpolated_quantiles(df.select(key, col), [key], col, [("median", "0.5")])
-    mom = df.groupBy(key).agg(avg_money(col).alias("mean"),
-                              F.round(F.stddev_samp(F.col(col).cast("double")), 2).alias("std"))
-    return (mom.join(med.select(key, "median"), key, "left")
-               .select(key, "mean", money("median").alias("median"), "std").orderBy(key))
+    q = quantiles(df.select(key, col), [key], col, [("median", "0.5")], also=[
+        ("mean", avg_money("value")), ("std", F.round(F.stddev_samp(F.col("value").cast("double")), 2))])
+    # a group without any value has no quantile, but its row
+    every = df.select(key).distinct().join(q, key, "left")
+    return every.select(key, "mean", money("median").alias("median"), "std").orderBy(key)
 
 
 def describe(v: DataFrame, cols=("Age", "BillingAmount", "LengthOfStay")) -> DataFrame:
     """count, mean, std, min, 25/50/75 % (interpolated), max per column, rounded to 2.
 
-    The columns are stacked into (column, value) once, so one pass serves them all.
+    The columns are stacked into (column, value); the first of two scans gives the moments with the
+    sketches, the second the exact quartiles.
     """
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DECIMAL(22,4))" for c in cols)
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DECIMAL(18,4))" for c in cols)
     long = v.selectExpr(f"stack({len(cols)}, {pairs}) AS (`column`, value)").where(F.col("value").isNotNull())
-    q = interpolated_quantiles(long, ["column"], "value",
-                               [("p25", "0.25"), ("p50", "0.50"), ("p75", "0.75")])
-    m = long.groupBy("column").agg(
-        F.count("value").alias("count"), avg_money("value").alias("mean"),
-        F.round(F.stddev_samp(F.col("value").cast("double")), 2).alias("std"),
-        money(F.min("value")).alias("min"), money(F.max("value")).alias("max"))
-    return m.join(q.drop("n"), "column", "left").select(
-        "column", "count", "mean", "std", "min", money("p25").alias("p25"),
-        money("p50").alias("p50"), money("p75").alias("p75"), "max")
+    v = F.col("value")
+    q = quantiles(long, ["column"], "value", [("p25", "0.25"), ("p50", "0.50"), ("p75", "0.75")], also=[
+        ("mean", avg_money("value")), ("std", F.round(F.stddev_samp(v.cast("double")), 2)),
+        ("min", money(F.min(v))), ("max", money(F.max(v)))])
+    return q.select("column", F.col("n").alias("count"), "mean", "std", "min", money("p25").alias("p25"),
+                    money("p50").alias("p50"), money("p75").alias("p75"), "max")
 
 
 def provider_condition_matrix(v: DataFrame) -> DataFrame:
@@ -151,22 +149,8 @@ def boxplot_stats(df: DataFrame, key: str = "MedicalCondition", col: str = "Bill
     """Quartiles, IQR, whiskers at the most extreme points within 1.5·IQR (never inside the box), flier count;
     groups ordered by median.
 
-    The quartile step leaves a checkpointed table of distinct (group, value, count);
-    whiskers and fliers are read from it, so the claims are scanned once.
+    Two scans: the fences' bands follow from the quartiles' (see plans.quantiles).
     """
-    q, counts = interpolated_quantiles(df.select(key, col), [key], col, QUARTILES, with_counts=True)
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
-         .withColumn("_lo", F.col("q1") - F.lit(Decimal("1.5")) * F.col("iqr")) \
-         .withColumn("_hi", F.col("q3") + F.lit(Decimal("1.5")) * F.col("iqr"))
-    x = F.col(col)
-    j = counts.join(q, key)
-    # No value lies in [fence, whisker), so a flier is exactly a value outside the fences.
-    out = j.groupBy(key).agg(
-        F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
-        F.first("q3").alias("q3"), F.first("iqr").alias("iqr"),
-        F.least(F.min(F.when(x >= F.col("_lo"), x)), F.first("q1")).alias("whislo"),
-        F.greatest(F.max(F.when(x <= F.col("_hi"), x)), F.first("q3")).alias("whishi"),
-        F.coalesce(F.sum(F.when((x < F.col("_lo")) | (x > F.col("_hi")), F.col("_cnt"))),
-                   F.lit(0)).cast("bigint").alias("fliers"))
-    return out.select(key, "n", *[money(c, 4).alias(c) for c in ["q1", "median", "q3", "iqr", "whislo", "whishi"]],
-                      "fliers").orderBy("median", key)
+    q = boxes(df, key, col, QUARTILES)
+    return q.select(key, "n", *[money(c, 4).alias(c) for c in ["q1", "median", "q3", "iqr", "whislo", "whishi"]],
+                    "fliers").orderBy("median", key)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_group, avg_int1, avg_money, length_of_stay
-from ..plans.ordering import rank_lookup
+from ..plans.quantiles import rank_lookup
 from ..schema import MONEY, ADMISSION_TYPES, BLOOD_TYPES, GENDERS, TEXT_COLUMNS, TYPED_COLUMNS
 
 CATEGORICALS = ["Gender", "BloodType", "MedicalCondition", "AdmissionType", "InsuranceProvider",

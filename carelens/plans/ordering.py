@@ -38,26 +38,30 @@ def _range(df: DataFrame, order, num_partitions: int | None) -> DataFrame:
     return df.repartitionByRange(*order)
 
 
-def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     """Rename every column (avoids ambiguous self-joins on shared lineage)."""
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
-def _keys_eq(left: DataFrame, right: DataFrame, cols: Sequence[str], prefix: str) -> Column:
+def equal_by(left: DataFrame, right: DataFrame, cols: Sequence[str], prefix: str) -> Column:
     cond = F.lit(True)
     for c in cols:
         cond = cond & left[c].eqNullSafe(right[prefix + c])
     return cond
 
 
+def ranged(counted: DataFrame, keys: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """Rows with their multiplicity, range-partitioned by ``keys`` and tagged with their range."""
+    ensure_checkpoint_dir(counted.sparkSession)
+    spread = _range(counted, [F.col(k).asc_nulls_first() for k in keys], num_partitions)
+    return spread.withColumn(PID, F.spark_partition_id()).checkpoint(eager=True)
+
+
 def ranged_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                   num_partitions: int | None = None) -> DataFrame:
     """Distinct (group, order) rows with their multiplicity, range-partitioned and tagged."""
-    ensure_checkpoint_dir(df.sparkSession)
     keys = list(group_cols) + list(order_cols)
-    vc = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(CNT))
-    ranged = _range(vc, [F.col(k).asc_nulls_first() for k in keys], num_partitions)
-    return ranged.withColumn(PID, F.spark_partition_id()).checkpoint(eager=True)
+    return ranged(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(CNT)), keys, num_partitions)
 
 
 def partition_offsets(ranged: DataFrame, group_cols: Sequence[str]) -> DataFrame:
@@ -74,8 +78,8 @@ def with_cumulative(ranged: DataFrame, offsets: DataFrame, group_cols: Sequence[
                .orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     run = ranged.withColumn(RUN, F.sum(CNT).over(w))
-    o = _prefixed(offsets.select(*group_cols, PID, OFF), "o")
-    j = run.join(o, _keys_eq(run, o, list(group_cols) + [PID], "o"))
+    o = prefixed(offsets.select(*group_cols, PID, OFF), "o")
+    j = run.join(o, equal_by(run, o, list(group_cols) + [PID], "o"))
     return (j.withColumn("cum_incl", F.col("o" + OFF) + F.col(RUN))
              .withColumn("cum_before", F.col("cum_incl") - F.col(CNT))
              .select(*run.columns, "cum_incl", "cum_before").drop(RUN))
@@ -83,43 +87,47 @@ def with_cumulative(ranged: DataFrame, offsets: DataFrame, group_cols: Sequence[
 
 def rank_lookup(df: DataFrame, group_cols: Sequence[str], value_col: str,
                 targets: Callable[[Column], list[tuple[str, Column]]],
-                num_partitions: int | None = None, with_counts: bool = False):
+                num_partitions: int | None = None) -> DataFrame:
     """Value at 1-based rank k of each group, for every (name, k) that ``targets(n)`` gives.
 
     Returns (group..., target, k, n, value) with n the group's row count.
-    Ranks outside 1..n give no row.  ``with_counts=True`` also returns the checkpointed
-    distinct (group, value, _cnt) table, which later steps can reuse instead of
-    scanning the input again.
+    Ranks outside 1..n give no row.  All distinct values are shuffled; ``plans.quantiles`` has the
+    form that shuffles only those near the wanted ranks.
     """
     group_cols = list(group_cols)
-    ranged = ranged_counts(df, group_cols, [value_col], num_partitions)
-    offs = partition_offsets(ranged, group_cols)
-    totals = offs.groupBy(*group_cols).agg(F.sum(PTOT).alias("_n"))
+    placed = ranged_counts(df, group_cols, [value_col], num_partitions)
+    totals = partition_offsets(placed, group_cols).groupBy(*group_cols).agg(F.sum(PTOT).alias("_n"))
     tgt = totals.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(name).alias("target"), k.cast("long").alias("k"))
         for name, k in targets(F.col("_n"))
-    ])).alias("_t"), "_n").select(*group_cols, "_t.target", "_t.k", "_n")
-    # locate the partition holding rank k: small x small
-    o = _prefixed(offs, "o")
-    tp = tgt.join(o, _keys_eq(tgt, o, group_cols, "o")
-                  & (o["o" + OFF] < tgt["k"]) & (tgt["k"] <= o["o" + OFF] + o["o" + PTOT]))
+    ])).alias("_t"), "_n").select(*group_cols, "_t.target", "_t.k", "_n", F.col("_t.k").alias("inner"))
+    return value_at_ranks(placed, group_cols, value_col, tgt)
+
+
+def value_at_ranks(placed: DataFrame, group_cols: Sequence[str], value_col: str, tgt: DataFrame) -> DataFrame:
+    """(group..., target, k, n, value): per row of ``tgt`` (group..., target, k, _n, inner) the value at
+    the 1-based rank ``inner`` of the group's rows in ``placed`` (from ``ranged``); none beyond them."""
+    offs = partition_offsets(placed, group_cols)
+    # locate the partition holding the rank: small x small
+    o = prefixed(offs, "o")
+    tp = tgt.join(o, equal_by(tgt, o, group_cols, "o")
+                  & (o["o" + OFF] < tgt["inner"]) & (tgt["inner"] <= o["o" + OFF] + o["o" + PTOT]))
     # at most #groups x #targets rows
-    tp = tp.select(*group_cols, "target", "k", "_n", F.col("o" + PID).alias(PID))
+    tp = tp.select(*group_cols, "target", "k", "_n", "inner", F.col("o" + PID).alias(PID))
     # running counts only inside the partitions that hold a target
-    hit = _semi(ranged, tp.select(*group_cols, PID).distinct(), group_cols + [PID])
+    hit = _semi(placed, tp.select(*group_cols, PID).distinct(), [*group_cols, PID])
     cum = with_cumulative(hit, offs, group_cols, [value_col])
-    t = _prefixed(tp, "t")
-    m = cum.join(t, _keys_eq(cum, t, group_cols + [PID], "t")
-                 & (cum["cum_before"] < t["tk"]) & (t["tk"] <= cum["cum_incl"]))
-    found = m.select(*[F.col("t" + c).alias(c) for c in group_cols],
-                     F.col("ttarget").alias("target"), F.col("tk").alias("k"),
-                     F.col("t_n").alias("n"), F.col(value_col).alias("value"))
-    return (found, ranged.select(*group_cols, value_col, CNT)) if with_counts else found
+    t = prefixed(tp, "t")
+    m = cum.join(t, equal_by(cum, t, [*group_cols, PID], "t")
+                 & (cum["cum_before"] < t["tinner"]) & (t["tinner"] <= cum["cum_incl"]))
+    return m.select(*[F.col("t" + c).alias(c) for c in group_cols],
+                    F.col("ttarget").alias("target"), F.col("tk").alias("k"),
+                    F.col("t_n").alias("n"), F.col(value_col).alias("value"))
 
 
 def _semi(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    r = _prefixed(right.select(*cols), "r")
-    return left.join(r, _keys_eq(left, r, cols, "r"), "left_semi")
+    r = prefixed(right.select(*cols), "r")
+    return left.join(r, equal_by(left, r, cols, "r"), "left_semi")
 
 
 def number_rows(df: DataFrame, order_cols: Sequence[str], name: str,
@@ -141,7 +149,7 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], name: str,
                 .withColumn(PID, F.shiftright(POS, PLACE_BITS)))
     counts = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias(PTOT))
     w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    offs = _prefixed(counts.withColumn(OFF, F.coalesce(F.sum(PTOT).over(w), F.lit(0))), "o")
+    offs = prefixed(counts.withColumn(OFF, F.coalesce(F.sum(PTOT).over(w), F.lit(0))), "o")
     place = F.col(POS).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     j = ranged.join(F.broadcast(offs), F.col(PID) == F.col("o" + PID))
     return j.select(*df.columns, (F.col("o" + OFF) + place + 1).cast("long").alias(name))
@@ -154,48 +162,6 @@ def dense_sequence(df: DataFrame, order_cols: Sequence[str], name: str,
         .select(name, *order_cols)
 
 
-def interpolated_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                           ps: Sequence[tuple[str, str]], with_counts: bool = False):
-    """Linear-interpolation quantiles (NumPy/pandas default) of the non-NULL values.
-
-    For q = p, position h = (n - 1)·p (0-based); the result is
-    x[floor(h)] + (h - floor(h))·(x[floor(h)+1] - x[floor(h)]).  ``ps`` holds
-    (name, decimal string); decimal inputs give exact decimal results.
-    Returns (group..., n, one column per name); with ``with_counts`` also the distinct
-    (group, value, _cnt) table (see ``rank_lookup``).
-    """
-    from decimal import Decimal
-
-    group_cols = list(group_cols)
-    data = df.where(F.col(value_col).isNotNull())
-
-    def pos(n, p):
-        return (n - 1) * F.lit(Decimal(p))
-
-    def targets(n):
-        out = []
-        for name, p in ps:
-            lo = F.floor(pos(n, p)).cast("long")
-            out.append((f"{name}__lo", lo + 1))
-            out.append((f"{name}__hi", F.least(lo + 2, n)))
-        return out
-
-    found, counts = rank_lookup(data, group_cols, value_col, targets, with_counts=True)
-    aggs = [F.first("n").alias("n")]
-    for name, _p in ps:
-        aggs.append(F.max(F.when(F.col("target") == f"{name}__lo", F.col("value"))).alias(f"{name}__lo"))
-        aggs.append(F.max(F.when(F.col("target") == f"{name}__hi", F.col("value"))).alias(f"{name}__hi"))
-    wide = found.groupBy(*group_cols).agg(*aggs)
-    cols = [*group_cols, "n"]
-    for name, p in ps:
-        h = pos(F.col("n"), p)
-        frac = h - F.floor(h)
-        lo, hi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
-        cols.append((lo + frac * (hi - lo)).alias(name))
-    out = wide.select(*cols)
-    return (out, counts) if with_counts else out
-
-
 def dense_sequence_grouped(df: DataFrame, group_col: str, order_cols: Sequence[str],
                            name: str, num_partitions: int | None = None) -> DataFrame:
     """Per value of ``group_col``, number its distinct ``order_cols`` values 1..n in order.

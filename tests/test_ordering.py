@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from carelens.operators.advanced import order_stat_percentiles
 from carelens.operators.profile import kth_values
+from carelens.plans.quantiles import quantiles
 from carelens.plans.ordering import (
-    dense_sequence, dense_sequence_grouped, interpolated_quantiles, number_rows, rank_lookup,
+    dense_sequence, dense_sequence_grouped, number_rows, rank_lookup,
 )
 
 
@@ -64,7 +65,7 @@ def test_interpolated_quantiles_match_numpy(spark):
     rows = [(g, Decimal(rnd.randint(0, 10000)) / 100) for g in "abc" for _ in range(rnd.randint(1, 60))]
     df = _data(spark, rows)
     ps = [("q1", "0.25"), ("median", "0.5"), ("q3", "0.75")]
-    got = {r.g: r for r in interpolated_quantiles(df, ["g"], "x", ps).collect()}
+    got = {r.g: r for r in quantiles(df, ["g"], "x", ps).collect()}
     for g in "abc":
         vals = np.array([float(r[1]) for r in rows if r[0] == g])
         for name, p in ps:
