@@ -20,10 +20,11 @@ around it each time) would be one large piece.  Its windows are dealt one by one
 hash of their 100 bytes: equal windows still meet, the others spread.  Of equal windows only the
 first of a batch of documents is sent on; all but the first by place are removed.
 
-Rows are named by their place in the table (monotonically_increasing_id over the scan), so
-``docs`` must be a stored table, whose scan gives the same rows in the same partitions each time.
+Rows are named by their file and place in it, which hold however a scan is split; ``docs`` that do
+not come from files are written to the shared folder first.  (Rows that a join or an explode has
+repeated have no place of their own: write such a table before.)
 
-Defined cases: null or empty text has 0 bytes; rows with equal doc_id stand in table order, a
+Defined cases: null or empty text has 0 bytes; rows with equal doc_id stand in an order of files and places, a
 null doc_id before all others; an exact copy of at least 100 bytes is removed whole, shorter
 documents keep all; an empty table gives an empty result; extra columns are ignored.
 """
@@ -32,15 +33,18 @@ from __future__ import annotations
 
 import hashlib
 import sys
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, text_of
+from ..session import ensure_checkpoint_dir
+from .common import OWN, documents, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -100,21 +104,21 @@ def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return start, length, gram[owner[start]].astype(np.int64), content.astype(np.int64)
 
 
-RUNS = "h long, c long, doc_id long, row long, lo int, n int"
+RUNS = "h long, c long, doc_id long, f long, row long, lo int, n int"
 
 
 def _batches(rows: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Lists of (doc_id, row, offset, bytes) of bounded size; a huge text comes in pieces that
+    """Lists of (doc_id, (file, row), offset, bytes) of bounded size; a huge text comes in pieces that
     overlap by WIDTH - 1 bytes, so that every window is in exactly one."""
     some, size = [], 0
     for batch in rows:
-        for doc_id, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for doc_id, f, row, text in zip(*(c.to_pylist() for c in batch.columns)):
             data = text.encode("utf-8", "surrogatepass")
             for a in range(0, max(1, len(data) - WIDTH + 1), BATCH_BYTES):
                 piece = data[a:a + BATCH_BYTES + WIDTH - 1]
                 if len(piece) < WIDTH:
                     continue
-                some.append((doc_id, row, a, piece))
+                some.append((doc_id, (f, row), a, piece))
                 size += len(piece)
                 if size >= BATCH_BYTES:
                     yield some
@@ -144,11 +148,11 @@ def find_runs(docs: DataFrame) -> DataFrame:
             total = np.bincount(group, weights=n, minlength=group[-1] + 1 if len(group) else 0).astype(np.int32)
             head = np.flatnonzero(~joins)
             ids = pa.array([x[0] for x in some], pa.int64()).take(pa.array(which[head]))
-            rws = np.array([x[1] for x in some], np.int64)[which[head]]
-            spread = _mix(rws.astype(np.uint64) + lo[head].astype(np.uint64)).astype(np.int64)
+            names = np.array([x[1] for x in some], np.int64)[which[head]].reshape(-1, 2)
+            spread = _mix(names.sum(1).astype(np.uint64) + lo[head].astype(np.uint64)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.where(again[head], spread, h[head])), pa.array(c[head], mask=again[head]), ids, pa.array(rws),
-                pa.array(lo[head].astype(np.int32)), pa.array(total)], names=["h", "c", "doc_id", "row", "lo", "n"])
+                pa.array(np.where(again[head], spread, h[head])), pa.array(c[head], mask=again[head]), ids, pa.array(names[:, 0]), pa.array(names[:, 1]),
+                pa.array(lo[head].astype(np.int32)), pa.array(total)], names=["h", "c", "doc_id", "f", "row", "lo", "n"])
 
     return docs.mapInArrow(work, RUNS)
 
@@ -187,63 +191,63 @@ def longest_previous(pieces: list[bytes]) -> list[np.ndarray]:
 
 
 def _edges(rows: DataFrame) -> DataFrame:
-    """rows (h, doc_id, row, lo, bytes) -> (row, lo, n) of windows that start earlier."""
+    """rows (h, doc_id, f, row, lo, bytes) -> (f, row, lo, n) of windows that start earlier."""
 
     def settle(some: list[tuple]) -> pa.RecordBatch:
         out = []
-        for (_, row, lo, _), found in zip(some, longest_previous([x[3] for x in some])):
+        for (_, f, row, lo, _), found in zip(some, longest_previous([x[4] for x in some])):
             change = np.flatnonzero(np.diff(np.concatenate([[0], found.astype(np.int8), [0]])))
-            out += [(row, lo + a, b - a) for a, b in zip(change[::2].tolist(), change[1::2].tolist())]
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()),
-                                           pa.array([x[2] for x in out], pa.int32())], names=["row", "lo", "n"])
+            out += [(f, row, lo + a, b - a) for a, b in zip(change[::2].tolist(), change[1::2].tolist())]
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(
+            (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["f", "row", "lo", "n"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some, size = [], 0
         for batch in batches:
-            for h, row, lo, data in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for h, f, row, lo, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if size >= BATCH_BYTES // 4 and h != some[-1][0]:
                     yield settle(some)
                     some, size = [], 0
-                some.append((h, row, lo, data))
+                some.append((h, f, row, lo, data))
                 size += len(data)
         if some:
             yield settle(some)
 
-    spread = rows.repartition("h").sortWithinPartitions("h", F.col("doc_id").asc_nulls_first(), "row", "lo")
-    return spread.select("h", "row", "lo", "data").mapInArrow(work, "row long, lo int, n int")
+    spread = rows.repartition("h").sortWithinPartitions("h", F.col("doc_id").asc_nulls_first(), "f", "row", "lo")
+    return spread.select("h", "f", "row", "lo", "data").mapInArrow(work, "f long, row long, lo int, n int")
 
 
 def _crowded(rows: DataFrame) -> DataFrame:
-    """rows (doc_id, row, want, text), want: (h, lo, n) of runs of crowded owners -> (row, lo, n)
+    """rows (doc_id, f, row, want, text), want: (h, lo, n) of runs of crowded owners -> (f, row, lo, n)
     of windows that start earlier."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part, first, out = batch.slice(at, 512), {}, []
-                few = list(zip(*(part.column(k).to_pylist() for k in range(4))))
-                few.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
-                for doc_id, row, want, text in few:
+                few = list(zip(*(c.to_pylist() for c in part.columns)))
+                few.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2]))
+                for doc_id, f, row, want, text in few:
                     data = text.encode("utf-8", "surrogatepass")
                     for lo in sorted(x for w in want for x in range(w["lo"], w["lo"] + w["n"])):
                         key = hashlib.blake2b(data[lo:lo + WIDTH], digest_size=16).digest()
-                        out.append((None if key in first else key, doc_id, row, lo))
+                        out.append((None if key in first else key, doc_id, f, row, lo))
                         first.setdefault(key, True)
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(
-                    (pa.binary(), pa.int64(), pa.int64(), pa.int32()))], names=["key", "doc_id", "row", "lo"])
+                    (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()))], names=["key", "doc_id", "f", "row", "lo"])
 
-    windows = rows.mapInArrow(work, "key binary, doc_id long, row long, lo int").select(
-        F.col("key").isNull().alias("again"), F.coalesce("key", F.concat_ws(" ", "row", "lo").cast("binary")).alias("key"), "doc_id", "row", "lo")
-    same = Window.partitionBy("key").orderBy("again", F.col("doc_id").asc_nulls_first(), "row", "lo")
+    windows = rows.mapInArrow(work, "key binary, doc_id long, f long, row long, lo int").select(
+        F.col("key").isNull().alias("again"), F.coalesce("key", F.concat_ws(" ", "f", "row", "lo").cast("binary")).alias("key"), "doc_id", "f", "row", "lo")
+    same = Window.partitionBy("key").orderBy("again", F.col("doc_id").asc_nulls_first(), "f", "row", "lo")
     return (windows.withColumn("k", F.row_number().over(same)).where(F.col("again") | (F.col("k") > 1))
-            .select("row", "lo", F.lit(1).alias("n")))
+            .select("f", "row", "lo", F.lit(1).alias("n")))
 
 
 def repeated(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """(row, spans): per document with any, the (lo, n) window ranges that start earlier.
-    ``docs``: doc_id, row, text."""
-    found = find_runs(docs.select("doc_id", "row", "text"))
-    same = Window.partitionBy("h", "c").orderBy(F.col("doc_id").asc_nulls_first(), "row", "lo")
+    """(sf, sr, spans): per document with any, the (lo, n) window ranges that start earlier.
+    ``docs``: doc_id, f, row, text."""
+    found = find_runs(docs.select("doc_id", "f", "row", "text"))
+    same = Window.partitionBy("h", "c").orderBy(F.col("doc_id").asc_nulls_first(), "f", "row", "lo")
     owner = Window.partitionBy("h")
     marked = (found.withColumn("k", F.row_number().over(same))
               .withColumn("several", F.min("c").over(owner) != F.max("c").over(owner))
@@ -251,29 +255,42 @@ def repeated(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     state = F.when(F.col("c").isNull() | (F.col("k") > 1), 1).when(F.col("several"), 0)
     kept = (marked.withColumn("known", state).where(F.col("known").isNotNull())
             .withColumn("known", F.when((F.col("known") == 0) & F.col("crowded"), 2).otherwise(F.col("known")))
-            .select("row", "doc_id", "lo", "n", "known", F.when(F.col("known") != 1, F.col("h")).alias("h")).checkpoint(eager=True))
+            .select("f", "row", "doc_id", "lo", "n", "known", F.when(F.col("known") != 1, F.col("h")).alias("h")).checkpoint(eager=True))
     wanted = F.struct("h", "lo", "n")
-    open_ = kept.where(F.col("known") != 1).groupBy(F.col("row").alias("r")).agg(
+    open_ = kept.where(F.col("known") != 1).groupBy(F.col("f").alias("rf"), F.col("row").alias("r")).agg(
         F.collect_list(F.when(F.col("known") == 0, wanted)).alias("want"), F.collect_list(F.when(F.col("known") == 2, wanted)).alias("crowd"))
     # the same exchange of texts by row serves here and for the result: equal columns, equal order
-    with_text = docs.join(open_, F.col("row") == F.col("r"))
+    with_text = docs.join(open_, (F.col("f") == F.col("rf")) & (F.col("row") == F.col("r")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                row, doc_id, want, text = (batch.column(c)[k].as_py() for c in range(4))
+                f, row, doc_id, want, text = (c[k].as_py() for c in batch.columns)
                 data = text.encode("utf-8", "surrogatepass")
                 yield pa.RecordBatch.from_arrays([
                     pa.array([w["h"] for w in want], pa.int64()), pa.array([doc_id] * len(want), pa.int64()),
-                    pa.array([row] * len(want), pa.int64()), pa.array([w["lo"] for w in want], pa.int32()),
+                    pa.array([f] * len(want), pa.int64()), pa.array([row] * len(want), pa.int64()), pa.array([w["lo"] for w in want], pa.int32()),
                     pa.array([data[w["lo"]:w["lo"] + w["n"] + WIDTH - 1] for w in want], pa.binary())],
-                    names=["h", "doc_id", "row", "lo", "data"])
+                    names=["h", "doc_id", "f", "row", "lo", "data"])
 
-    pieces = with_text.where(F.size("want") > 0).select("row", "doc_id", "want", "text").mapInArrow(cut, "h long, doc_id long, row long, lo int, data binary")
-    every = kept.where(F.col("known") == 1).select("row", "lo", "n").union(_edges(pieces))
+    pieces = (with_text.where(F.size("want") > 0).select("f", "row", "doc_id", "want", "text")
+              .mapInArrow(cut, "h long, doc_id long, f long, row long, lo int, data binary"))
+    every = kept.where(F.col("known") == 1).select("f", "row", "lo", "n").union(_edges(pieces))
     if kept.where(F.col("known") == 2).limit(1).count():
-        every = every.union(_crowded(with_text.where(F.size("crowd") > 0).select("doc_id", "row", "crowd", "text")))
-    return every.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("lo", "n"))).alias("spans")).select(F.col("row").alias("sr"), "spans")
+        every = every.union(_crowded(with_text.where(F.size("crowd") > 0).select("doc_id", "f", "row", "crowd", "text")))
+    return every.groupBy("f", "row").agg(F.sort_array(F.collect_list(F.struct("lo", "n"))).alias("spans")).select(
+        F.col("f").alias("sf"), F.col("row").alias("sr"), "spans")
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """doc_id, f, row (hash of the file, place in it) and text."""
+    try:
+        rows = docs.select("*", F.col("_metadata.file_path").alias(f"{OWN}file"), F.col("_metadata.row_index").alias(f"{OWN}row"))
+    except AnalysisException:  # not a scan of files
+        path = f"{ensure_checkpoint_dir(docs.sparkSession)}/texts-{uuid.uuid4().hex}"
+        docs.select("doc_id", "text").write.parquet(path)
+        return _named(docs.sparkSession.read.parquet(path))
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(f"{OWN}file").alias("f"), F.col(f"{OWN}row").alias("row"), text_of().alias("text"))
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -282,9 +299,9 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 def without_repeats(docs: DataFrame, with_bytes: bool = True, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes (null without
     ``with_bytes``) of every document."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text_of().alias("text"))
+    rows = _named(docs)
     spans = repeated(rows, crowd)
-    both = rows.join(spans, F.col("row") == F.col("sr"), "left").select("doc_id", "text", "spans.lo", "spans.n")
+    both = rows.join(spans, (F.col("f") == F.col("sf")) & (F.col("row") == F.col("sr")), "left").select("doc_id", "text", "spans.lo", "spans.n")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
