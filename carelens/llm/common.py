@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -72,3 +73,11 @@ def numbered(rows: DataFrame, group: list[str], order: list[str], name: str) ->
                        (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias(f"{OWN}shift"))
     both = placed.join(shift, equal_keys(placed, shift, [(c, f"{OWN}g{i}") for i, c in enumerate([*group, part])]))
     return both.select(*rows.columns, (place + F.col(f"{OWN}shift")).alias(name))
+
+
+def release(spark: SparkSession) -> None:
+    """Free the shuffle files and checkpoints of steps that are done.  Spark's cleaner removes them once
+    nothing refers to them, but learns of that only when the driver's JVM collects garbage, which by
+    itself may be half an hour later, with the files of every step before still on the disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -40,7 +40,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import OWN, WORD, documents, text_of
+from .common import OWN, WORD, documents, release, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -218,6 +218,8 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
+        del way, least, large, lowest, small
+        release(now.sparkSession)
     return now.select(F.col("u").alias("v"), F.col("w").alias("c")).union(now.select(F.col("w").alias("v"), F.col("w").alias("c"))).distinct()
 
 
@@ -282,6 +284,7 @@ def _across(members: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, a, b (hash of the words), empty and class_id, one row per row of ``docs``."""
+    release(docs.sparkSession)
     rows = signed(docs).checkpoint(eager=True)
     full = rows.where(F.col("bands").isNotNull())
     vertex = (full.where(F.col("doc_id").isNotNull()).groupBy("a", "b")
@@ -291,6 +294,8 @@ def classes(docs: DataFrame) -> DataFrame:
     buckets = held.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least")).where(F.col("n") > 1)
     buckets = buckets.select(F.col("band").alias("bb"), F.col("h").alias("bh"), "n", "least")
     member = held.join(buckets, (F.col("band") == F.col("bb")) & (F.col("h") == F.col("bh"))).select("v", "band", "h", "n", "least").checkpoint(eager=True)
+    del held, buckets, full
+    release(docs.sparkSession)
     reach = member.groupBy("v").agg(F.sum("n").alias("reach")).select(F.col("v").alias("rv"), "reach")
     known = member.join(reach, F.col("v") == F.col("rv"))
     hub = known.groupBy("band", "h").agg(F.max_by("v", F.struct("reach", -F.col("v"))).alias("hub")).select(
@@ -299,13 +304,17 @@ def classes(docs: DataFrame) -> DataFrame:
     pairs = (starred.select("v", F.explode(F.array_distinct(F.array("least", "hub"))).alias("o")).where(F.col("v") != F.col("o"))
              .select(F.least("v", "o").alias("x"), F.greatest("v", "o").alias("y")).distinct())
     edges = verified(pairs, docs).checkpoint(eager=True)
+    del reach, known, hub, starred, pairs
+    release(docs.sparkSession)
     first = components(edges)
     label = first.select(F.col("v").alias("lv"), "c")
     sigs = vertex.select(F.col("v").alias("sv"), F.col("bands").alias("sig"))
     placed = (member.select("v", "band", "h").join(label, F.col("v") == F.col("lv"), "left")
               .select("v", "band", "h", F.coalesce("c", "v").alias("c")))
-    more = _across(placed, sigs, docs)
-    final = components(edges.union(more).checkpoint(eager=True)).select(F.col("v").alias("fv"), F.col("c").alias("fc"))
+    more = edges.union(_across(placed, sigs, docs)).checkpoint(eager=True)
+    del first, label, sigs, placed, member, edges
+    release(docs.sparkSession)
+    final = components(more).select(F.col("v").alias("fv"), F.col("c").alias("fc"))
     owner = vertex.join(final, F.col("v") == F.col("fv"), "left").select(
         F.col("a").alias("va"), F.col("b").alias("vb"), F.coalesce("fc", "v").alias("class_id"))
     out = rows.join(owner, (F.col("a") == F.col("va")) & (F.col("b") == F.col("vb")) & F.col("bands").isNotNull(), "left")
