@@ -94,3 +94,20 @@ def collated(col, collation: str | None = None) -> Column:
     """Optionally compare/group a string column under a collation, e.g. ``UNICODE_CI_AI``
     (case- and accent-insensitive, like the reference database's default)."""
     return F.collate(_c(col), collation) if collation else _c(col)
+
+
+def python_float(x: Column) -> Column:
+    """A double as Python prints it: shortest digits, plain from 1e-4 up to 1e16, else as 1.5e-05."""
+    s = x.cast("double").cast("string")
+    part = lambda g: F.regexp_extract(s, r"^-?([0-9])\.([0-9]+)E(-?[0-9]+)$", g)
+    sign, e = F.when(s.startswith("-"), "-").otherwise(""), part(3).try_cast("int")
+    more = F.when(part(2) == "0", "").otherwise(part(2))
+    digits = F.concat(part(1), more)
+    wide = F.rpad(digits, F.greatest(e + 1, F.length(digits)), F.lit("0"))
+    rest = F.substr(wide, e + 2)
+    plain = F.concat(sign, F.substr(wide, F.lit(1), e + 1), F.lit("."), F.when(rest == "", "0").otherwise(rest))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    power = F.concat(F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), F.greatest(F.lit(2), F.length(F.abs(e).cast("string"))), F.lit("0")))
+    far = F.concat(sign, part(1), F.when(more == "", "").otherwise(F.concat(F.lit("."), more)), power)
+    named = F.when(s == "Infinity", "inf").when(s == "-Infinity", "-inf").when(s == "NaN", "nan")
+    return F.coalesce(named, F.when(e.isNull(), s).when((e >= 0) & (e < 16), plain).when((e < 0) & (e >= -4), small).otherwise(far))

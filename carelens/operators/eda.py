@@ -43,14 +43,22 @@ def describe(v: DataFrame, cols=("Age", "BillingAmount", "LengthOfStay")) -> Dat
                     money("p50").alias("p50"), money("p75").alias("p75"), "max")
 
 
+#: A pivot has a column per value; beyond this many it is refused (``billing_summary`` has the long form).
+MOST_COLUMNS = 1000
+
+
 def provider_condition_matrix(v: DataFrame) -> DataFrame:
     """Insurer × condition mean billing, rounded to whole currency units.
 
-    The pivot values are the fixed condition domain, so Spark needs no extra
-    job to discover them.
+    A first job finds the conditions there are (distinct values, at most ``MOST_COLUMNS``); the known
+    ones always have their column, others follow in order, NULL has none.
     """
+    found = [r[0] for r in v.select("MedicalCondition").where(F.col("MedicalCondition").isNotNull())
+             .distinct().orderBy("MedicalCondition").limit(MOST_COLUMNS + 1).collect()]
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} conditions: use the long form")
     return (v.groupBy("InsuranceProvider")
-             .pivot("MedicalCondition", CONDITIONS)
+             .pivot("MedicalCondition", [*CONDITIONS, *(c for c in found if c not in CONDITIONS)])
              .agg(money(F.avg("BillingAmount"), 0))
              .orderBy("InsuranceProvider"))
 

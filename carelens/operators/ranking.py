@@ -76,7 +76,8 @@ def recommend(ranking: DataFrame, profiles: DataFrame) -> DataFrame:
     """Batch lookup: every ranking row matching a profile's (age band, blood, condition, medication).
 
     An equi-join on four keys; AQE turns it into a broadcast join at run time when
-    the ranking side turns out small and keeps the sort-merge join otherwise.
+    the ranking side turns out small and keeps the sort-merge join otherwise.  The rows of
+    a profile stand together, best rank first, the cheaper first among equals.
     """
     p = _profiles_keyed(profiles)
     r = ranking.select(
@@ -88,7 +89,7 @@ def recommend(ranking: DataFrame, profiles: DataFrame) -> DataFrame:
     keys = ["age_group", "blood_type", "condition", "medication"]
     return p.join(r, keys, "inner").select(
         "profile_id", "age", *keys, "insurer", "avg_billing", "min_billing", "max_billing",
-        "claim_count", "rank")
+        "claim_count", "rank").orderBy("profile_id", "rank", "avg_billing", "insurer")
 
 
 def unmatched_profiles(ranking: DataFrame, profiles: DataFrame) -> DataFrame:

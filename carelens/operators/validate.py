@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import strip_ws
+from ..functions.columns import python_float, strip_ws
 from ..schema import (
     ADMISSION_TYPES, AGE_MAX, AGE_MIN, BLOOD_TYPES, CONDITIONS, CSV_TO_TYPED, EXPECTED_COLUMNS,
     GENDERS, MONEY, TEST_RESULTS, TYPED_COLUMNS,
@@ -80,7 +80,7 @@ def _rules_full(raw: DataFrame, t: dict[str, Column], line: Column) -> list[Colu
         domain("AdmissionType", ADMISSION_TYPES, "admission type"),
         domain("TestResults", TEST_RESULTS, "test results"),
         msg(bill.isNull(), "Invalid billing amount ", _q(r["Billing Amount"])),
-        msg(bill.isNotNull() & (exact < 0), "Negative billing amount ", F.when(bill < 0, bill.cast("double")).otherwise(exact).cast("string")),
+        msg(bill.isNotNull() & (exact < 0), "Negative billing amount ", python_float(exact)),
         msg(adm.isNull(), "Invalid admission date ", _q(r["Date of Admission"])),
         msg(dis.isNull(), "Invalid discharge date ", _q(r["Discharge Date"])),
         msg(adm.isNotNull() & dis.isNotNull() & (dis < adm), "Discharge date before admission date"),

@@ -2,18 +2,20 @@
 
 Each step is one distributed write; the validated rows are checkpointed once
 (to the shared checkpoint folder) so staging, star schema and ranking are all
-built from the same validation pass.  Like the reference's loader it stops
+built from the same validation pass.  All tables belong to one load and become
+current together (see ``sources.snapshots``).  Like the reference's loader it stops
 when no row is valid, and ``skip_validation`` keeps only the type checks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import model, ranking, validate
 from ..operators.view import enriched
 from ..session import ensure_checkpoint_dir
-from ..sources import files, sinks
+from ..sources import files, snapshots
 
 
 class NoValidRows(ValueError):
@@ -22,22 +24,22 @@ class NoValidRows(ValueError):
 
 def run_load(spark: SparkSession, csv_path: str, out_root: str,
              skip_validation: bool = False) -> DataFrame:
-    """Returns the reject summary (rows read, valid, rejected, errors) of the load."""
+    """Returns the reject summary of the load: rows read, valid, rejected, errors, and the first ten
+    ``messages``.  Tables of the committed load: staging, rejected, the star's, ranking."""
     ensure_checkpoint_dir(spark)
-    raw = files.with_line_numbers(files.read_raw_csv(spark, csv_path))
+    raw = files.read_numbered_csv(spark, csv_path)
     checked = validate.validate(raw, level="types" if skip_validation else "full",
                                 record_col="line").checkpoint(eager=True)
-    summary = validate.reject_summary(checked)
-    counts = summary.first()
-    if counts["valid"] == 0:
-        raise NoValidRows("no valid rows to load")
+    messages = [r["message"] for r in validate.first_errors(checked, 10, "line").collect()]
+    summary = validate.reject_summary(checked).withColumn("messages", F.array(*map(F.lit, messages)).cast("array<string>"))
+    if summary.first()["valid"] == 0:
+        raise NoValidRows("\n  ".join(["no valid rows to load", *messages]))
     ok, rejected = validate.split(checked)
-    staging = ok.drop("line")
-    root = out_root.rstrip("/")
-    sinks.write_staging(staging, f"{root}/staging")
-    validate.as_strings(rejected).write.mode("overwrite").parquet(f"{root}/rejected")
-    stg = spark.read.parquet(f"{root}/staging")
-    dims = model.dimensions(stg)
-    sinks.write_star({**dims, "Admission": model.build_fact(stg, dims)}, f"{root}/star")
-    sinks.write_ranking(ranking.cheapest_insurer(enriched(stg)), f"{root}/ranking")
+    load = snapshots.begin(spark, out_root)
+    stg = load.write("staging", ok.drop("line"))
+    load.write("rejected", validate.as_strings(rejected))
+    dims = {name: load.write(name, rows) for name, rows in model.dimensions(stg).items()}
+    load.write("Admission", model.build_fact(stg, dims))
+    load.write("ranking", ranking.cheapest_insurer(enriched(stg)))
+    load.commit()
     return summary

@@ -107,8 +107,7 @@ def _csv_reject_summary(s, d):
     the lines in file order, validate and summarise."""
     path = f"{_shared_folder(s)}/csv-{uuid.uuid4().hex[:12]}"
     files.write_raw_csv(claims_raw(s, d), path)
-    raw = files.with_line_numbers(files.read_raw_csv(s, path))
-    return val.reject_summary(val.validate(raw, record_col="line"))
+    return val.reject_summary(val.validate(files.read_numbered_csv(s, path), record_col="line"))
 
 # -- star schema ----------------------------------------------------------
 from ..operators import model  # noqa: E402

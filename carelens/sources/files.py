@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..schema import CLAIMS_SCHEMA, EXPECTED_COLUMNS, RAW_SCHEMA
 from ..session import ensure_checkpoint_dir
+from . import records
 
 CORRUPT = "_corrupt_record"
 
@@ -26,11 +27,11 @@ def check_header(spark: SparkSession, path: str, expected=EXPECTED_COLUMNS) -> l
     return spelt
 
 
-def whole_rows(read: DataFrame) -> DataFrame:
+def whole_rows(read: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """An empty field is an empty text; only what a short row lacks is NULL."""
     whole = F.col(CORRUPT).isNull()
     return read.select(*[F.when(whole, F.coalesce(f"`{c}`", F.lit(""))).otherwise(F.col(f"`{c}`")).alias(c.strip())
-                         for c in read.columns if c != CORRUPT], CORRUPT)
+                         for c in read.columns if c not in (CORRUPT, *(carry or []))], CORRUPT, *(carry or []))
 
 
 def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
@@ -56,6 +57,22 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False,
     return whole_rows(read)
 
 
+def read_numbered_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", check: bool = True, name: str = "line") -> DataFrame:
+    """As ``read_raw_csv`` with the number of every record in its file (the first after the header is 2),
+    and with records whose quoted fields hold line ends, in files that are split all the same.
+
+    With ``check`` one job compares the first record of every file and names the file that differs."""
+    found = records.split_records(records.lines(spark, path, encoding)).checkpoint(eager=True)
+    made = records.fields(found, EXPECTED_COLUMNS, CORRUPT)
+    if check:
+        differs = " OR ".join(f"NOT (trim(`{c}`) <=> '{c}')" for c in EXPECTED_COLUMNS)
+        wrong = made.where("number = 1").where(f"{differs} OR `{CORRUPT}` IS NOT NULL").orderBy("file").limit(1).collect()
+        if wrong:
+            raise ValueError(f"CSV columns of {wrong[0]['file']} don't match expected schema.\n  Expected: {EXPECTED_COLUMNS}\n"
+                             f"  Got:      {wrong[0][CORRUPT] or [wrong[0][c] for c in EXPECTED_COLUMNS]}")
+    return whole_rows(made.where("number > 1").drop("file").withColumnRenamed("number", name), carry=[name])
+
+
 def with_line_numbers(raw: DataFrame, name: str = "line") -> DataFrame:
     """Number records in file order, per file, starting at 2 (line 1 is the header).
 

@@ -3,7 +3,7 @@
 import pytest
 
 from carelens.plans.load import NoValidRows, run_load
-from carelens.sources import sinks
+from carelens.sources import snapshots
 
 from .test_validate import HEADER
 
@@ -17,19 +17,63 @@ def test_load_writes_every_table(spark, tmp_dir):
         f.write(HEADER + "".join(GOOD.format(i=i, b=100 + i) for i in range(5)) + BAD)
     s = run_load(spark, p, f"{tmp_dir}/out").collect()[0]
     assert (s.rows_read, s.valid, s.rejected, s.error_count) == (6, 5, 1, 2)
-    assert spark.read.parquet(f"{tmp_dir}/out/staging").count() == 5
-    load = sinks.current_load(spark, f"{tmp_dir}/out/star")
-    assert spark.read.parquet(f"{load}/Admission").count() == 5
-    assert spark.read.parquet(f"{load}/Patient").count() == 5
-    r = spark.read.parquet(f"{tmp_dir}/out/ranking").collect()
+    assert s.messages == ["Line 7: Invalid age 'abc'", "Line 7: Invalid test results 'Pending'"]
+    made = snapshots.current(spark, f"{tmp_dir}/out")
+    assert [made.read(spark, t).count() for t in ("staging", "Admission", "Patient", "Doctor")] == [5, 5, 5, 1]
+    r = made.read(spark, "ranking").collect()
     assert len(r) == 1 and r[0].InsuranceProvider == "Medicare" and r[0].ClaimCount == 5
-    rej = spark.read.parquet(f"{tmp_dir}/out/rejected").collect()
+    rej = made.read(spark, "rejected").collect()
     assert rej[0].errors == "Line 7: Invalid age 'abc'; Line 7: Invalid test results 'Pending'"
 
 
+def test_a_load_that_dies_leaves_the_last_one_whole(spark, tmp_dir, monkeypatch):
+    p, root = f"{tmp_dir}/in.csv", f"{tmp_dir}/out"
+    with open(p, "w") as f:
+        f.write(HEADER + GOOD.format(i=1, b=100))
+    run_load(spark, p, root)
+    first = snapshots.current(spark, root)
+    with open(p, "a") as f:
+        f.write("".join(GOOD.format(i=i, b=100 + i) for i in range(2, 4)))
+    write = snapshots.Load.write
+
+    def dying(after):
+        def some(self, *a, **k):
+            if len(self.tables) == after:
+                raise OSError("lost")
+            return write(self, *a, **k)
+        return some
+
+    for after in (0, 1, 5, 8):
+        monkeypatch.setattr(snapshots.Load, "write", dying(after))
+        if after == 8:  # everything written, the commit lost
+            monkeypatch.setattr(snapshots, "_rename", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            run_load(spark, p, root)
+        monkeypatch.undo()
+        now = snapshots.current(spark, root)
+        assert now == first and {t: now.read(spark, t).count() for t in ("staging", "Admission", "Patient")} == {"staging": 1, "Admission": 1, "Patient": 1}
+    assert run_load(spark, p, root).first().valid == 3
+    now = snapshots.current(spark, root)
+    assert now.number == 2 and now.read(spark, "Admission").count() == 3
+    assert snapshots.at(spark, root, 1).read(spark, "Admission").count() == 1
+
+
+def test_two_loads_at_once_take_two_numbers(spark, tmp_dir, monkeypatch):
+    one, two = (snapshots.begin(spark, f"{tmp_dir}/both") for _ in range(2))
+    for k, load in enumerate((one, two)):
+        load.write("t", spark.range(k + 1))
+    numbers = snapshots._numbers
+    stale = iter([[]])  # the second load does not see the first one's commit at once
+    assert one.commit().number == 1
+    monkeypatch.setattr(snapshots, "_numbers", lambda *a: next(stale, numbers(*a)))
+    assert two.commit().number == 2
+    monkeypatch.undo()
+    assert snapshots.current(spark, f"{tmp_dir}/both").read(spark, "t").count() == 2
+
+
 def test_load_stops_without_valid_rows(spark, tmp_dir):
     p = f"{tmp_dir}/bad.csv"
     with open(p, "w") as f:
         f.write(HEADER + BAD)
-    with pytest.raises(NoValidRows):
+    with pytest.raises(NoValidRows, match="Line 2: Invalid age 'abc'"):
         run_load(spark, p, f"{tmp_dir}/out")
