@@ -19,7 +19,8 @@ per source (twelve for ranking), never documents.
 
 Defined cases: null or empty text has size 0 and nothing taken; a null source is a source of
 its own, last; repeated rows each have their own place in the stream; an empty table gives an
-empty result.  Documents keep their columns in ``mix_documents``.
+empty result.  Documents keep their columns in ``mix_documents``, whatever their names: carried
+columns go by numbers until the end.
 """
 
 from __future__ import annotations
@@ -73,7 +74,7 @@ def _measured(docs: DataFrame, seed: int, carry: list[str]) -> DataFrame:
     return docs.select(F.col("doc_id").alias(f"{OWN}id"), F.col("source").alias(f"{OWN}source"),
                        count_words(text).alias(f"{OWN}size"),
                        F.xxhash64(F.lit(seed), F.col("doc_id"), text).alias(f"{OWN}order"),
-                       *[F.col(c) for c in carry])
+                       *[F.col(c).alias(f"{OWN}c{i}") for i, c in enumerate(carry)])
 
 
 def mix(docs: DataFrame, seed: int = SEED, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS,
@@ -146,7 +147,7 @@ def mix(docs: DataFrame, seed: int = SEED, block_tokens: int = BLOCK_TOKENS, sha
     rows = rows.withColumn(f"{OWN}cuts", F.when(n > 0, cuts).otherwise(F.filter(cuts, lambda c: F.lit(False))))
     rows = rows.withColumn(f"{OWN}taken", F.col(f"{OWN}passes") * F.col(o["size"]) + F.aggregate(
         f"{OWN}cuts", F.lit(0).cast("long"), lambda s, c: s + c.b - c.a))
-    return rows.select(*(carry or []), o["id"], o["size"], o["source_size"], o["target"],
+    return rows.select(*[F.col(f"{OWN}c{i}").alias(c) for i, c in enumerate(carry or [])], o["id"], o["size"], o["source_size"], o["target"],
                        f"{OWN}passes", f"{OWN}cuts", f"{OWN}taken")
 
 

@@ -272,3 +272,18 @@ def test_suffix_dedup_when_the_scan_is_split_anew(spark, tmp_path):
     assert got == brute.lpf_removal([r[:2] for r in rows])
     made = spark.createDataFrame(rows, SCHEMA).withColumn("f", F.lit(1)).withColumn("row", F.lit(2))  # no files, clashing names
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in without_repeats(made).collect()} == got
+
+
+# --- mixing: columns by any name --------------------------------------------------------------------
+
+def test_mixing_keeps_columns_named_like_its_own(spark, tmp_path):
+    from carelens.llm.op01_mixing import mix_documents
+    names = ["weight", "quota", "cap", "total", "_from", "_end", "_n", "_all", "_rest", "_first", "_s", "_h", "_t", "_w"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` int" for n in names)
+    docs = spark.createDataFrame([(*r[:5], *range(100 * k, 100 * k + len(names))) for k, r in enumerate(awkward())], schema)
+    made, plain = mix_documents(docs), mix_documents(docs.select(*docs.columns[:5]))
+    assert made.columns == docs.columns
+    extra = {r.doc_id: tuple(r[n] for n in names) for r in docs.collect()}
+    rows = made.collect()
+    assert all(tuple(r[n] for n in names) == extra[r.doc_id] for r in rows)
+    assert Counter(tuple(r[:5]) for r in rows) == Counter(tuple(r) for r in plain.collect())
