@@ -13,7 +13,6 @@ from .op08_near import op8_near_duplicates
 from .op09_pii import op9_personal_data
 from .op10_pieces import op10_sentencepiece
 from .op11_packing import op11_best_fit_packing
-
 from .op12_repair import op12_conversation_repair
 from .op13_merkle import op13_merkle_manifest
 
