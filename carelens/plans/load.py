@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import model, ranking, validate
+from ..operators import model, ranking, states, validate
 from ..operators.view import enriched
 from ..session import ensure_checkpoint_dir
 from ..sources import files, snapshots
@@ -25,7 +25,8 @@ class NoValidRows(ValueError):
 def run_load(spark: SparkSession, csv_path: str, out_root: str,
              skip_validation: bool = False) -> DataFrame:
     """Returns the reject summary of the load: rows read, valid, rejected, errors, and the first ten
-    ``messages``.  Tables of the committed load: staging, rejected, the star's, ranking."""
+    ``messages``.  Tables of the committed load: staging, rejected, the star's, ranking, and the states
+    of ``operators.states`` (profile, moments, sketches, value_counts)."""
     ensure_checkpoint_dir(spark)
     raw = files.read_numbered_csv(spark, csv_path)
     checked = validate.validate(raw, level="types" if skip_validation else "full",
@@ -36,7 +37,12 @@ def run_load(spark: SparkSession, csv_path: str, out_root: str,
         raise NoValidRows("\n  ".join(["no valid rows to load", *messages]))
     ok, rejected = validate.split(checked)
     load = snapshots.begin(spark, out_root)
-    stg = load.write("staging", ok.drop("line"))
+    profile = states.ObservedProfile(ok.drop("line"))
+    stg = load.write("staging", profile.rows)
+    load.write("profile", profile.report())
+    load.write("moments", states.moment_states(stg))
+    load.write("sketches", states.sketch_states(stg))
+    load.write("value_counts", states.value_states(stg))
     load.write("rejected", validate.as_strings(rejected))
     dims = {name: load.write(name, rows) for name, rows in model.dimensions(stg).items()}
     load.write("Admission", model.build_fact(stg, dims))

@@ -154,6 +154,36 @@ register("q_profile_los")(lambda s, d: prof.profile_los(staging_loose(s, d)))
 register("q_quality_checks")(lambda s, d: prof.quality_checks(staging_loose(s, d)))
 register("q_quality_score")(lambda s, d: prof.quality_score(prof.quality_checks(staging_loose(s, d))))
 
+# -- states: reports without a scan of the claims ------------------------------
+from ..operators import states as sts  # noqa: E402
+
+
+@register("q_profile_report")
+def _profile_report(s, d):
+    """Staging is written to the shared folder and its profile observed on the way."""
+    seen = sts.ObservedProfile(staging_loose(s, d))
+    seen.rows.write.parquet(f"{_shared_folder(s)}/staging-{uuid.uuid4().hex[:12]}")
+    return seen.report()
+
+
+def _by_year(df):
+    """The claims of a year stand for a load; claims without a date for one more."""
+    return df.withColumn("load", F.year("DateOfAdmission"))
+
+
+def _moment_states(s, d):
+    return sts.moment_states(_by_year(_claims(s, d)), ["load", *sts.MOMENT_KEYS])
+
+
+@register("q_profile_cardinality_stored")
+def _profile_cardinality_stored(s, d):
+    """Exact counts of the columns with few values and the class of every column, from states."""
+    loose = staging_loose(s, d)
+    r = sts.cardinality_from(sts.sketch_states(loose), sts.value_states(loose))
+    return r.select("position", "column", "exact", F.when(F.col("exact"), F.col("distinct_values")).alias("distinct_values"),
+                    "cardinality")
+
+
 # -- statistics -------------------------------------------------------------
 from ..operators import statistics as st  # noqa: E402
 
@@ -175,6 +205,13 @@ register("q_welch_condition_filtered")(
     lambda s, d: st.welch(st.group_moments(_claims(s, d), "InsuranceProvider",
                                            where={"MedicalCondition": "Diabetes"})))
 
+register("q_group_moments_stored")(lambda s, d: st.moments_report(sts.moments_from(_moment_states(s, d))))
+register("q_welch_stored")(lambda s, d: st.welch(sts.moments_from(_moment_states(s, d))))
+register("q_welch_condition_stored")(
+    lambda s, d: st.welch(sts.moments_from(_moment_states(s, d), where={"MedicalCondition": "Diabetes"})))
+register("q_anova_condition_stored")(
+    lambda s, d: st.anova(sts.moments_from(_moment_states(s, d), "MedicalCondition")))
+
 # -- exploratory analysis and dashboard calculations ----------------------
 from ..operators import eda, serving  # noqa: E402
 

@@ -134,3 +134,16 @@ def current(spark: SparkSession, root: str) -> Snapshot:
     if not numbers:
         raise AnalysisException(f"no load has been committed under {root}")
     return at(spark, root, numbers[-1])
+
+
+def every(spark: SparkSession, root: str) -> list[Snapshot]:
+    """All committed snapshots, the oldest first."""
+    return [at(spark, root, n) for n in _numbers(spark, root.rstrip("/"))]
+
+
+def stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of all committed loads that have it (for states, which are merged over loads)."""
+    paths = [s.tables[name] for s in every(spark, root) if name in s.tables]
+    if not paths:
+        raise AnalysisException(f"no load under {root} has a table {name}")
+    return spark.read.parquet(*paths)

@@ -108,3 +108,28 @@ ORACLE["q_quality_score"] = w(CHECKS) + """
 SELECT COUNT(*) FILTER (WHERE violations = 0) AS checks_passed, COUNT(*) AS checks_total,
        CAST(round(COUNT(*) FILTER (WHERE violations = 0) * 100.0 / COUNT(*), 0) AS BIGINT) AS score_pct
 FROM checks"""
+
+ORACLE["q_profile_cardinality_stored"] = f"""
+SELECT position, "column", "column" IN ('Age','Gender','BloodType','MedicalCondition','AdmissionType','InsuranceProvider','TestResults') AS exact,
+       CASE WHEN exact THEN distinct_values END AS distinct_values, cardinality
+FROM ({ORACLE["q_profile_cardinality"]})"""
+
+
+def _lines(section, item, names, query):
+    """One line a metric of a one-row query."""
+    listed = ", ".join(f"'{n}'" for n in names)
+    numbers = ", ".join("CAST(NULL AS DOUBLE)" if n in ("earliest", "latest") else f"CAST({n} AS DOUBLE)" for n in names)
+    days = ", ".join(n if n in ("earliest", "latest") else "CAST(NULL AS DATE)" for n in names)
+    return (f"SELECT '{section}' AS section, '{item}' AS item, unnest([{listed}]) AS metric, "
+            f"unnest([{numbers}]) AS number, unnest([{days}]) AS day FROM ({ORACLE[query]})")
+
+
+ORACLE["q_profile_report"] = " UNION ALL ".join([
+    _lines("overview", "all", ["total_records", "min_age", "max_age", "avg_age", "min_bill", "max_bill", "avg_bill",
+                               "earliest", "latest"], "q_profile_overview"),
+    f"""SELECT 'completeness', "column", unnest(['nulls', 'empties']), unnest([CAST(nulls AS DOUBLE), CAST(empties AS DOUBLE)]),
+        CAST(NULL AS DATE) FROM ({ORACLE["q_profile_completeness"]})""",
+    _lines("billing", "BillingAmount", ["mean", "stddev", "min_val", "max_val"], "q_profile_billing"),
+    _lines("stay", "all", ["avg_stay", "min_stay", "max_stay", "same_day", "over_30_days"], "q_profile_los"),
+    f"""SELECT 'quality', check_name, 'violations', CAST(violations AS DOUBLE), CAST(NULL AS DATE)
+        FROM ({ORACLE["q_quality_checks"]})"""])

@@ -128,3 +128,8 @@ FROM mo"""
 
 ORACLE["q_confidence_intervals"] = with_claims(_P, view=False) + _ci("InsuranceProvider")
 ORACLE["q_condition_ci"] = with_claims(_C, view=False) + _ci("MedicalCondition")
+
+# The same answers from merged states.
+for _q in ("q_group_moments", "q_welch", "q_anova_condition"):
+    ORACLE[f"{_q}_stored"] = ORACLE[_q]
+ORACLE["q_welch_condition_stored"] = ORACLE["q_welch_condition_filtered"]

@@ -43,9 +43,9 @@ def test_a_load_that_dies_leaves_the_last_one_whole(spark, tmp_dir, monkeypatch)
             return write(self, *a, **k)
         return some
 
-    for after in (0, 1, 5, 8):
+    for after in (0, 1, 5, 9, 12):
         monkeypatch.setattr(snapshots.Load, "write", dying(after))
-        if after == 8:  # everything written, the commit lost
+        if after == 12:  # everything written, the commit lost
             monkeypatch.setattr(snapshots, "_rename", lambda *a: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             run_load(spark, p, root)
