@@ -84,6 +84,33 @@ def dimensions(claims: DataFrame) -> dict[str, DataFrame]:
     return dims
 
 
+def extend(stored: DataFrame, rows: DataFrame, cols: list[str], key: str) -> DataFrame:
+    """A stored dimension with the members of ``rows`` (columns ``cols``) that it lacks: stored members
+    keep their keys, new ones are numbered in sort order above the largest stored key.
+
+    Only new members are numbered, an anti join finds them; NULLs are compared as values.  Rows without
+    new members leave the dimension as it is.  The largest key is fetched, one number."""
+    new = rows.select(*cols).distinct().alias("n")
+    same = None
+    for c in cols:
+        here = F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}"))
+        same = here if same is None else same & here
+    new = new.join(stored.select(*cols).alias("s"), same, "left_anti")
+    above = stored.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).first()[0]
+    numbered = dense_sequence(new, cols, key).withColumn(key, F.col(key) + F.lit(above))
+    return stored.select(key, *cols).unionByName(numbered)
+
+
+def extend_dimensions(stored: dict[str, DataFrame], claims: DataFrame) -> dict[str, DataFrame]:
+    """The five dimensions of an earlier load, extended by the members that ``claims`` brings."""
+    out = {}
+    for name, (key, src) in NAME_DIMENSIONS.items():
+        rows = claims.select(F.col(src).alias("Name")).where(F.col("Name").isNotNull())
+        out[name] = extend(stored[name], rows, ["Name"], key)
+    out["Patient"] = extend(stored["Patient"], claims.where(F.col("Name").isNotNull()), PATIENT_KEYS, "PatientID")
+    return out
+
+
 def build_fact(claims: DataFrame, dims: dict[str, DataFrame], with_id: bool = True) -> DataFrame:
     """Admission fact: staging inner-joined to the five dimensions.
 

@@ -23,10 +23,11 @@ class NoValidRows(ValueError):
 
 
 def run_load(spark: SparkSession, csv_path: str, out_root: str,
-             skip_validation: bool = False) -> DataFrame:
+             skip_validation: bool = False, keep_keys: bool = False) -> DataFrame:
     """Returns the reject summary of the load: rows read, valid, rejected, errors, and the first ten
     ``messages``.  Tables of the committed load: staging, rejected, the star's, ranking, and the states
-    of ``operators.states`` (profile, moments, sketches, value_counts)."""
+    of ``operators.states`` (profile, moments, sketches, value_counts).  With ``keep_keys``
+    members of the last load's dimensions keep their keys and new ones are numbered above them."""
     ensure_checkpoint_dir(spark)
     raw = files.read_numbered_csv(spark, csv_path)
     checked = validate.validate(raw, level="types" if skip_validation else "full",
@@ -37,6 +38,7 @@ def run_load(spark: SparkSession, csv_path: str, out_root: str,
         raise NoValidRows("\n  ".join(["no valid rows to load", *messages]))
     ok, rejected = validate.split(checked)
     load = snapshots.begin(spark, out_root)
+    last = snapshots.last(spark, out_root) if keep_keys else None
     profile = states.ObservedProfile(ok.drop("line"))
     stg = load.write("staging", profile.rows)
     load.write("profile", profile.report())
@@ -44,7 +46,11 @@ def run_load(spark: SparkSession, csv_path: str, out_root: str,
     load.write("sketches", states.sketch_states(stg))
     load.write("value_counts", states.value_states(stg))
     load.write("rejected", validate.as_strings(rejected))
-    dims = {name: load.write(name, rows) for name, rows in model.dimensions(stg).items()}
+    if last is None:
+        dims = model.dimensions(stg)
+    else:
+        dims = model.extend_dimensions({n: last.read(spark, n) for n in ["Patient", *model.NAME_DIMENSIONS]}, stg)
+    dims = {name: load.write(name, rows) for name, rows in dims.items()}
     load.write("Admission", model.build_fact(stg, dims))
     load.write("ranking", ranking.cheapest_insurer(enriched(stg)))
     load.commit()

@@ -133,6 +133,41 @@ register("q_fact")(lambda s, d: _fact(s, d)[0].withColumn(
     "BillingAmount", F.col("BillingAmount").cast("double")))
 register("q_fk_audit")(lambda s, d: model.fk_audit(*_fact(s, d, with_id=False)))
 
+
+
+EARLY = "1995-01-01"  # claims admitted before stand for a first load
+
+
+def _early(c):
+    return c.where(F.col("DateOfAdmission") < F.lit(EARLY).cast("date"))
+
+
+@register("q_dim_patient_incremental")
+def _dim_patient_incremental(s, d):
+    """Patients of a first load keep their keys when the other claims arrive."""
+    c = _claims(s, d)
+    return model.extend(model.patients(_early(c)), c.where(F.col("Name").isNotNull()), model.PATIENT_KEYS, "PatientID")
+
+
+@register("q_dim_doctor_incremental")
+def _dim_doctor_incremental(s, d):
+    c = _claims(s, d)
+    rows = c.select(F.col("Doctor").alias("Name")).where(F.col("Name").isNotNull())
+    return model.extend(model.dimension(_early(c), "Doctor", "DoctorID"), rows, ["Name"], "DoctorID")
+
+
+@register("q_fk_audit_stale")
+def _fk_audit_stale(s, d):
+    """The fact of all claims against dimensions that still lack the members of later claims."""
+    c = _claims(s, d)
+    dims = model.dimensions(c)
+    early = _early(c)
+    stale = {n: dims[n].join(early.select(F.col(src).alias("Name")).distinct(), "Name", "left_semi")
+             for n, (_k, src) in model.NAME_DIMENSIONS.items()}
+    stale["Patient"] = dims["Patient"].join(early.select(*model.PATIENT_KEYS).distinct(), model.PATIENT_KEYS, "left_semi")
+    return model.fk_audit(model.build_fact(c, dims, with_id=False), stale)
+
+
 # -- data profile (over the permissive load, as the profiler reads staging) ----
 from ..operators import profile as prof  # noqa: E402
 

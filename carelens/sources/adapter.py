@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import BLOOD_TYPES, EXPECTED_COLUMNS, MONEY, TYPED_COLUMNS
+from ..schema import BLOOD_TYPES, CONDITIONS, EXPECTED_COLUMNS, MONEY, TYPED_COLUMNS
 
 # Fixed values of the mapping (see FIXTURES.md §2).
 MEDICATIONS = ["Aspirin", "Ibuprofen", "Lipitor", "Paracetamol", "Penicillin"]
@@ -143,17 +143,18 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patient profiles to look up (one per customer whose key is also a part key).
+    """Patient profiles to look up, one per customer; some can match nothing: an age unknown, below 0
+    or above 150, a condition that no claim has.
 
     Columns: profile_id, age, blood_type, condition, medication.
     """
-    cu = table(spark, sf_dir, "customer").select("c_custkey")
-    pa = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    j = cu.join(pa, F.col("c_custkey") == F.col("p_partkey"))
-    return j.select(
-        F.col("c_custkey").alias("profile_id"),
-        ((F.col("c_custkey") * 53) % 151).cast("int").alias("age"),
-        _pick(BLOOD_TYPES, F.floor(F.col("c_custkey") / 3) % 8).alias("blood_type"),
-        _lookup(F.col("p_type"), PART_TYPE_TO_CONDITION, OTHER_CONDITION).alias("condition"),
-        _pick(MEDICATIONS, (F.col("c_custkey") + F.col("p_size")) % 5).alias("medication"),
+    key = F.col("c_custkey")
+    odd = key % 97
+    return table(spark, sf_dir, "customer").select(
+        key.alias("profile_id"),
+        F.when(odd == 3, F.lit(None)).when(odd == 5, -5).when(odd == 7, 200)
+         .otherwise((key * 53) % 151).cast("int").alias("age"),
+        _pick(BLOOD_TYPES, F.floor(key / 3) % 8).alias("blood_type"),
+        F.when(key % 89 == 11, "Gout").otherwise(_pick(CONDITIONS, F.floor(key / 7) % 6)).alias("condition"),
+        _pick(MEDICATIONS, (key + F.floor(key / 40)) % 5).alias("medication"),
     )

@@ -128,12 +128,18 @@ def at(spark: SparkSession, root: str, number: int) -> Snapshot:
     return Snapshot(number, made["load"], made["tables"])
 
 
+def last(spark: SparkSession, root: str) -> Snapshot | None:
+    """The snapshot committed last, if there is one."""
+    numbers = _numbers(spark, root.rstrip("/"))
+    return at(spark, root, numbers[-1]) if numbers else None
+
+
 def current(spark: SparkSession, root: str) -> Snapshot:
     """The snapshot committed last."""
-    numbers = _numbers(spark, root.rstrip("/"))
-    if not numbers:
+    found = last(spark, root)
+    if found is None:
         raise AnalysisException(f"no load has been committed under {root}")
-    return at(spark, root, numbers[-1])
+    return found
 
 
 def every(spark: SparkSession, root: str) -> list[Snapshot]:

@@ -58,3 +58,33 @@ UNION ALL SELECT 'DoctorID', COUNT(*) FILTER (WHERE DoctorID NOT IN (SELECT Doct
 UNION ALL SELECT 'HospitalID', COUNT(*) FILTER (WHERE HospitalID NOT IN (SELECT HospitalID FROM d_hospital)) FROM fact
 UNION ALL SELECT 'InsuranceID', COUNT(*) FILTER (WHERE InsuranceID NOT IN (SELECT InsuranceID FROM d_insurer)) FROM fact
 UNION ALL SELECT 'MedicationID', COUNT(*) FILTER (WHERE MedicationID NOT IN (SELECT MedicationID FROM d_medication)) FROM fact"""
+
+_EARLY = "DateOfAdmission < DATE '1995-01-01'"
+
+
+def _grown(key: str, cols: str) -> str:
+    """Members of the early claims first, in order, then the others, in order."""
+    order = ", ".join(f"{c} NULLS FIRST" for c in cols.split(", "))
+    return f"""
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY NOT early, {order}) AS BIGINT) AS {key}, {cols}
+FROM (SELECT {cols}, coalesce(bool_or({_EARLY}), false) AS early FROM c WHERE Name IS NOT NULL GROUP BY {cols})"""
+
+
+ORACLE["q_dim_patient_incremental"] = with_claims("c AS (SELECT * FROM claims)", view=False) + \
+    _grown("PatientID", "Name, Age, Gender, BloodType")
+ORACLE["q_dim_doctor_incremental"] = with_claims("c AS (SELECT Doctor AS Name, DateOfAdmission FROM claims)", view=False) + \
+    _grown("DoctorID", "Name")
+
+
+def _unseen(fk: str, table: str, src: str) -> str:
+    return (f"SELECT '{fk}' AS fk, COUNT(*) FILTER (WHERE {fk} NOT IN (SELECT {fk} FROM {table} "
+            f"WHERE Name IN (SELECT {src} FROM claims WHERE {_EARLY}))) AS orphans FROM fact")
+
+
+ORACLE["q_fk_audit_stale"] = with_claims(DIMS, view=False) + " UNION ALL ".join([
+    f"""
+SELECT 'PatientID' AS fk, COUNT(*) FILTER (WHERE PatientID NOT IN (
+  SELECT PatientID FROM d_patient p JOIN (SELECT DISTINCT Name, Age, Gender, BloodType FROM claims WHERE {_EARLY}) e
+  ON p.Name = e.Name AND p.Age = e.Age AND p.Gender = e.Gender AND p.BloodType = e.BloodType)) AS orphans FROM fact""",
+    _unseen("DoctorID", "d_doctor", "Doctor"), _unseen("HospitalID", "d_hospital", "Hospital"),
+    _unseen("InsuranceID", "d_insurer", "InsuranceProvider"), _unseen("MedicationID", "d_medication", "Medication")])

@@ -77,3 +77,28 @@ def test_load_stops_without_valid_rows(spark, tmp_dir):
         f.write(HEADER + BAD)
     with pytest.raises(NoValidRows, match="Line 2: Invalid age 'abc'"):
         run_load(spark, p, f"{tmp_dir}/out")
+
+
+def test_keys_survive_a_reload(spark, tmp_dir):
+    p, root = f"{tmp_dir}/in.csv", f"{tmp_dir}/out"
+    line = "{n},45,Female,O+,Diabetes,2023-01-15,{d},H,Medicare,10,101,Elective,2023-01-20,Aspirin,Normal\n"
+
+    def load(names, **how):
+        with open(p, "w") as f:
+            f.write(HEADER + "".join(line.format(n=n, d=f"Dr. {n}") for n in names))
+        run_load(spark, p, root, **how)
+        made = snapshots.current(spark, root)
+        return [{r.Name: r[key] for r in made.read(spark, t).collect()} for t, key in (("Patient", "PatientID"), ("Doctor", "DoctorID"))], made
+
+    first, _ = load([f"N{i:02d}" for i in range(10, 30)], keep_keys=True)  # nothing committed yet
+    assert first[0] == {f"N{i:02d}": i - 9 for i in range(10, 30)}
+    second, made = load(["A", "N10", "N20", "Z"], keep_keys=True)
+    for old, new in zip(first, second):
+        assert {n: new[n] for n in old} == old and sorted(new[n] for n in new if n not in old) == [21, 22]
+    assert second[0]["A"] == 21 and second[0]["Z"] == 22
+    ids = {r.PatientID for r in made.read(spark, "Admission").collect()}
+    assert ids == {second[0][n] for n in ("A", "N10", "N20", "Z")}
+    third, _ = load(["N10"], keep_keys=True)
+    assert third == second
+    again, _ = load(["N20", "N10"])  # without: numbered anew
+    assert again[0] == {"N10": 1, "N20": 2}
