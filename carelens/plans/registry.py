@@ -135,7 +135,7 @@ register("q_fk_audit")(lambda s, d: model.fk_audit(*_fact(s, d, with_id=False)))
 
 
 
-EARLY = "1995-01-01"  # claims admitted before stand for a first load
+EARLY = "1995-02-01"  # claims admitted before stand for a first load
 
 
 def _early(c):

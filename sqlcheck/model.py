@@ -59,7 +59,7 @@ UNION ALL SELECT 'HospitalID', COUNT(*) FILTER (WHERE HospitalID NOT IN (SELECT
 UNION ALL SELECT 'InsuranceID', COUNT(*) FILTER (WHERE InsuranceID NOT IN (SELECT InsuranceID FROM d_insurer)) FROM fact
 UNION ALL SELECT 'MedicationID', COUNT(*) FILTER (WHERE MedicationID NOT IN (SELECT MedicationID FROM d_medication)) FROM fact"""
 
-_EARLY = "DateOfAdmission < DATE '1995-01-01'"
+_EARLY = "DateOfAdmission < DATE '1995-02-01'"
 
 
 def _grown(key: str, cols: str) -> str:
