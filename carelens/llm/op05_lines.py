@@ -3,8 +3,9 @@
 Lines are exploded, normalised and hashed to 128 bits; (key, document) pairs are made distinct
 (partially before the shuffle), so counting documents per key is a plain count with map-side
 combine and a line that a third of all documents hold is no hot task.  The documents' own list
-of keys to drop comes back by one join on doc_id, and each document is reassembled in line
-order inside its row.
+of keys to drop comes back, sorted, by one join on doc_id, and each document is reassembled in
+line order inside its row; a line finds its key there by bisection, so a text of n lines that
+loses m keys takes n log m steps.
 
 Defined cases: null or empty text is one empty line (never dropped, too short); rows with equal
 doc_id are one document for counting and all lose the same keys; a null doc_id is one document,
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, OWN, UPPER, documents, text_of
+from .common import BLANKS, LOWER, OWN, UPPER, documents, let, text_of
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -33,7 +34,7 @@ def key_hash(key: Column) -> Column:
 
 
 def keys_to_drop(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, drops): the keys whose lines that document loses."""
+    """(doc_id, drops): the keys whose lines that document loses, ascending."""
     lines = docs.select("doc_id", F.explode(F.split(text_of(), "\n", -1)).alias("line"))
     keys = lines.select("doc_id", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
     held = keys.select("doc_id", key_hash(F.col("key")).alias("k")).select("doc_id", "k.a", "k.b").distinct()
@@ -41,7 +42,20 @@ def keys_to_drop(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
               .where(F.col("n") >= min_docs).select(F.col("a").alias("ca"), F.col("b").alias("cb"), "owner"))
     lost = (held.join(common, (F.col("a") == F.col("ca")) & (F.col("b") == F.col("cb")))
             .where(~F.col("doc_id").eqNullSafe(F.col("owner"))))
-    return lost.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("drops"))
+    return lost.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("drops"))
+
+
+def found_in(ascending: Column, key: Column) -> Column:
+    """Whether an ascending array holds ``key``: the range [lo, hi) is halved until it is empty, which
+    takes as many steps as the array's size has binary digits."""
+    def halve(s: Column, _) -> Column:
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        less = F.coalesce(F.get(ascending, mid) < key, F.lit(False))
+        return F.struct(F.when(less, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(less, s["hi"]).otherwise(mid).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(ascending).alias("hi"))
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(ascending))))
+    return F.aggregate(steps, start, halve, lambda s: F.coalesce(F.get(ascending, s["lo"]) == key, F.lit(False)))
 
 
 def _with_kept(docs: DataFrame, carry: list[str], min_chars: int, min_docs: int) -> DataFrame:
@@ -50,7 +64,7 @@ def _with_kept(docs: DataFrame, carry: list[str], min_chars: int, min_docs: int)
     rows = docs.select(*carry).join(drops, docs["doc_id"].eqNullSafe(drops[f"{OWN}doc"]), "left")
     lines = F.split(text_of(), "\n", -1)
     kept = F.filter(lines, lambda line: (F.length(line_key(line)) < min_chars)
-                    | ~F.array_contains(F.col(f"{OWN}drops"), key_hash(line_key(line))))
+                    | ~let(key_hash(line_key(line)), lambda key: found_in(F.col(f"{OWN}drops"), key)))
     return (rows.withColumn(f"{OWN}kept", F.when(F.col(f"{OWN}drops").isNotNull(), kept))
             .withColumn(f"{OWN}n", F.size(lines).cast("long")))
 
