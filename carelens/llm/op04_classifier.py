@@ -1,8 +1,10 @@
 """Quality classifier: hashed word n-grams, logistic regression by follow-the-regularised-leader.
 
-Training sees at most ``max_rows`` labelled documents (smallest seeded hash of doc_id, the
-documented bound), never those whose crc32(doc_id) mod 4 is 2; of each at most the hashed
-counts of its 1- and 2-grams, made on the executors.  FTRL-proximal needs its examples in
+Training sees at most ``max_rows`` examples, an example being a different text of a doc_id with a
+label of it (smallest seeded hash of doc_id, the documented bound, which holds after the join with
+the documents however often a doc_id or a label repeats), never those whose crc32(doc_id) mod 4 is
+2; of each the hashed counts of its 1- and 2-grams, made on the executors: 8 bytes a bucket that it
+uses, so at most 2 MB an example at 2^18 buckets and some 4 kB for a page of 500 words.  FTRL-proximal needs its examples in
 order, so that bounded sample is the one thing gathered; the result is one weight per bucket
 (``2 ** bits`` floats, 1 MB), which goes to the tasks with the scoring function.  Scoring is a
 map over all documents: a sparse dot product of a document's n-gram weights, no shuffle, one
@@ -12,8 +14,8 @@ Features are lower-cased words and their neighbours, plus shape buckets of a wor
 marks); a count c weighs log(1 + c), scaled to unit length.  The threshold and the parameters
 are the same at every size.
 
-Defined cases: null or empty text scores by the bias alone; several labels of one doc_id count
-as several examples, null labels or ids teach nothing; without any label all scores are 0.5;
+Defined cases: null or empty text scores by the bias alone; different labels of one doc_id, and
+different texts of it, count as several examples, equal ones as one, null labels or ids teach nothing; without any label all scores are 0.5;
 repeated rows score alike; extra columns are ignored (``reject_low`` keeps them).
 """
 
@@ -104,10 +106,18 @@ def held_out() -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int = MAX_ROWS, seed: int = SEED) -> tuple[np.ndarray, float]:
     """Weights and bias from a bounded sample of the labelled documents."""
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    marks = (labels.select("doc_id", F.col("quality").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-             .orderBy(order, "doc_id", "y").limit(max_rows))
-    rows = docs.select(F.col("doc_id").alias(f"{OWN}d"), text_of().alias("text")).join(marks, F.col(f"{OWN}d") == F.col("doc_id"))
+    own, label = f"{OWN}d", labels.select("doc_id", F.col("quality").alias("y"))
+    marks = label.where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).distinct()
+    order = [F.xxhash64(F.lit(seed), F.col("doc_id")), "doc_id", "y"]
+    texts = docs.select(F.col("doc_id").alias(own), text_of().alias("text")).select(
+        own, F.xxhash64("text").alias("a"), F.xxhash64(F.lit(seed), "text").alias("b"), "text")
+    # no more labels than examples can be of use; then the examples themselves are cut, by narrow rows
+    marks = marks.orderBy(*order).limit(max_rows)
+    marked = texts.join(marks, F.col(own) == F.col("doc_id"))
+    picked = marked.select("doc_id", "y", "a", "b").distinct().orderBy(*order, "a", "b").limit(max_rows).select(
+        "doc_id", "y", F.col("a").alias("pa"), F.col("b").alias("pb"))
+    rows = texts.join(picked, (F.col(own) == F.col("doc_id")) & (F.col("a") == F.col("pa")) & (F.col("b") == F.col("pb"))) \
+        .dropDuplicates(["doc_id", "y", "a", "b"])
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features = Hasher(bits)
@@ -118,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int = MA
 
     made = rows.select("doc_id", "y", "text").mapInPandas(hashed, "doc_id long, y int, i binary, x binary")
     rng = np.random.default_rng(seed)
-    got = sorted((r.doc_id, r.y, bytes(r.i), bytes(r.x)) for r in made.toLocalIterator())  # at most max_rows documents
+    got = sorted((r.doc_id, r.y, bytes(r.i), bytes(r.x)) for r in made.toLocalIterator())  # at most max_rows examples
     examples = [(np.frombuffer(i, np.int32), np.frombuffer(x, np.float32), y) for _, y, i, x in got]  # views, no copies
     return train([examples[k] for k in rng.permutation(len(examples))], bits)
 

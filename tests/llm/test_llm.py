@@ -142,6 +142,73 @@ def test_classifier(spark, docs, empty):
     assert reject_low(docs, labels).columns == docs.columns and classify(empty, labels).count() == 0
 
 
+def test_classifier_against_plain_loops(spark, docs, monkeypatch):
+    """FTRL written out bucket by bucket over the same examples; scores as plain sums."""
+    import math
+
+    from carelens.llm import op04_classifier as op4
+
+    seen, train = [], op4.train
+    monkeypatch.setattr(op4, "train", lambda examples, *a: (seen.append(examples), train(examples, *a))[1])
+    labels = docs.where("doc_id is not null").selectExpr("doc_id", "cast(doc_id % 2 as int) AS quality")
+    weights, bias = op4.fit(docs, labels, bits=10)
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= op4.L1:
+            return 0.0
+        return -(zi - math.copysign(op4.L1, zi)) / ((op4.BETA + math.sqrt(n.get(i, 0.0))) / op4.ALPHA + op4.L2)
+
+    for _ in range(op4.EPOCHS):
+        for bucket, value, y in seen[0]:
+            x = [*zip(map(int, bucket), map(float, value)), (-1, 1.0)]
+            p = 1 / (1 + math.exp(-max(-35.0, min(35.0, math.fsum(weight(i) * v for i, v in x)))))
+            for (i, v), w in zip(x, [weight(i) for i, _ in x]):
+                g = (p - y) * v
+                grown = n.get(i, 0.0) + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(grown) - math.sqrt(n.get(i, 0.0))) / op4.ALPHA * w
+                n[i] = grown
+    assert bias == pytest.approx(weight(-1), abs=1e-9)
+    assert np.allclose(weights, [weight(i) for i in range(1 << 10)], atol=1e-5)
+    features = op4.Hasher(10)
+    for r in docs.withColumn("s", op4.scorer(weights, bias, 10)(F.col("text"))).select("text", "s").collect():
+        bucket, value = features(r.text)
+        logit = bias + math.fsum(float(weights[i]) * v for i, v in zip(bucket, value))
+        assert r.s == pytest.approx(1 / (1 + math.exp(-max(-35.0, min(35.0, logit)))), abs=1e-6)
+
+
+def test_classifier_keeps_its_bound_whatever_repeats(spark, monkeypatch):
+    from carelens.llm import op04_classifier as op4
+
+    seen = []
+    monkeypatch.setattr(op4, "train", lambda examples, bits: (seen.append(examples), (np.zeros(1 << bits, np.float32), 0.0))[1])
+    many = spark.range(3000).selectExpr("1L AS doc_id", "concat('text ', id % 400) AS text").unionByName(
+        spark.range(3, 9).selectExpr("id AS doc_id", "'same' AS text"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)] * 3, "doc_id long, quality int")
+    op4.fit(many, labels, max_rows=5)
+    assert len(seen[-1]) == 5
+    op4.fit(many, labels, max_rows=1000)  # each text of doc 1 once, the others once unless held out
+    learnt = many.where(~op4.held_out()).select("doc_id", "text").distinct().count()
+    assert learnt > 400 and len(seen[-1]) == learnt
+
+
+def test_lines_found_by_bisection(spark):
+    from carelens.llm.op05_lines import dedup_lines, found_in
+
+    r = random.Random(3)
+    rows = []
+    for size in [0, 1, 2, 3, 4, 7, 8, 9, 33]:
+        array = sorted(r.sample(range(60), size))
+        rows += [(array, k) for k in [-1, 61, *r.sample(range(60), 25), *array]]
+    got = spark.createDataFrame(rows, "a array<int>, k int").select("a", "k", found_in(F.col("a"), F.col("k")).alias("f")).collect()
+    assert all(x.f == (x.k in x.a) for x in got)
+    lines = [f"line number {i} of a long list that many documents share" for i in range(20_000)]
+    text = "\n".join(lines)
+    five = spark.createDataFrame([(i, f"own {i}\n{text}") for i in range(5)], "doc_id long, text string")
+    assert {x.doc_id: x.text for x in dedup_lines(five).collect()} == {**{i: f"own {i}" for i in range(4)}, 4: f"own 4\n{text}"}
+
+
 def test_lines(docs, empty):
     from carelens.llm import op05_lines
     got = by_id(op05_lines._with_kept(docs, docs.columns, 40, 5).select(
