@@ -104,7 +104,7 @@ def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return start, length, gram[owner[start]].astype(np.int64), content.astype(np.int64)
 
 
-RUNS = "h long, c long, doc_id long, f long, row long, lo int, n int"
+RUNS = "h long not null, c long, doc_id long, f long, row long, lo int, n int"
 
 
 def _batches(rows: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -247,15 +247,17 @@ def repeated(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(sf, sr, spans): per document with any, the (lo, n) window ranges that start earlier.
     ``docs``: doc_id, f, row, text."""
     found = find_runs(docs.select("doc_id", "f", "row", "text"))
-    same = Window.partitionBy("h", "c").orderBy(F.col("doc_id").asc_nulls_first(), "f", "row", "lo")
-    owner = Window.partitionBy("h")
-    marked = (found.withColumn("k", F.row_number().over(same))
-              .withColumn("several", F.min("c").over(owner) != F.max("c").over(owner))
-              .withColumn("crowded", F.count("c").over(owner) > crowd))
-    state = F.when(F.col("c").isNull() | (F.col("k") > 1), 1).when(F.col("several"), 0)
-    kept = (marked.withColumn("known", state).where(F.col("known").isNotNull())
-            .withColumn("known", F.when((F.col("known") == 0) & F.col("crowded"), 2).otherwise(F.col("known")))
-            .select("f", "row", "doc_id", "lo", "n", "known", F.when(F.col("known") != 1, F.col("h")).alias("h")).checkpoint(eager=True))
+    # one exchange, by (h, c), serves the three uses of ``marked``: all take the same columns of it
+    same = Window.partitionBy("h", "c").orderBy(F.col("doc_id").asc_nulls_first(), "at")
+    marked = (found.select("h", "c", "doc_id", F.struct("f", "row", "lo", "n").alias("at"))
+              .withColumn("k", F.greatest(F.row_number().over(same), F.when(F.col("c").isNull(), 2).otherwise(1))))
+    # a run that stands first meets its owner's other runs if there are any: counted on the map side,
+    # joined (a join is split where an owner is hot, a window by owner would be one task)
+    owners = (marked.groupBy("h").agg(F.count_if(F.col("k") == 1).alias("several"), F.count("c").alias("all")).where(F.col("several") > 1)
+              .select(F.col("h").alias("oh"), (F.col("all") > crowd).alias("crowded")))
+    firsts = marked.where(F.col("k") == 1).select("h", "doc_id", "at").join(owners, F.col("h") == F.col("oh"))
+    known = marked.where(F.col("k") > 1).select("at.*", "doc_id", F.lit(1).alias("known"), F.lit(None).cast("long").alias("h"))
+    kept = known.unionByName(firsts.select("at.*", "doc_id", F.when(F.col("crowded"), 2).otherwise(0).alias("known"), "h")).checkpoint(eager=True)
     wanted = F.struct("h", "lo", "n")
     open_ = kept.where(F.col("known") != 1).groupBy(F.col("f").alias("rf"), F.col("row").alias("r")).agg(
         F.collect_list(F.when(F.col("known") == 0, wanted)).alias("want"), F.collect_list(F.when(F.col("known") == 2, wanted)).alias("crowd"))
