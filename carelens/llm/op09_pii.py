@@ -6,7 +6,7 @@ split() leaves between the matches.  The patterns are written with possessive re
 long run of digits or letters costs linear time and no recursion.
 
 Then the information-theoretic part.  Entities are the checked identifiers; a term is a word of
-at least ``min_chars`` that isn't part of one.  Over the corpus (documents with equal text count
+any length that isn't part of one.  Over the corpus (documents with equal text count
 once), n(t, e) is the number of documents that hold both t and e, anywhere in them, n(t) and n(e)
 the documents holding t and e.  A term discloses e if P(e | t) = n(t, e) / n(t) >= ``min_share``,
 its pointwise mutual information log2(n(t, e) N / (n(t) n(e))) >= ``min_bits`` and n(t, e) >=
@@ -44,7 +44,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-MIN_SUPPORT, MIN_SHARE, MIN_BITS, MIN_CHARS = 3, 0.5, 4.0, 4
+MIN_SUPPORT, MIN_SHARE, MIN_BITS = 3, 0.5, 4.0
 BUCKETS = 1 << 18
 _PART = WORD + "+"
 
@@ -140,7 +140,7 @@ def _places(text: Column, some: Callable[[Column], Column]) -> Column:
 
 
 def strong_terms(docs: DataFrame, found: DataFrame, min_support: int = MIN_SUPPORT, min_share: float = MIN_SHARE,
-                 min_bits: float = MIN_BITS, min_chars: int = MIN_CHARS) -> DataFrame:
+                 min_bits: float = MIN_BITS) -> DataFrame:
     """t: the words that disclose an identifier."""
     n_docs = found.select("hash").distinct().count()
     most = n_docs / 2 ** min_bits
@@ -154,11 +154,11 @@ def strong_terms(docs: DataFrame, found: DataFrame, min_support: int = MIN_SUPPO
     # documents with equal text count once: one row per text, then one per word and task
     text = text_of()
     once = docs.select(_hash(text).alias("hash"), text.alias("text")).select("hash.a", "hash.b", "text").dropDuplicates(["a", "b"])
-    n_t = (once.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("t")).where(F.length("t") >= min_chars)
+    n_t = (once.select(F.explode(F.array_distinct(words_of(F.col("text")))).alias("t"))
            .groupBy("t").agg(F.count(F.lit(1)).alias("n_t")).where(F.col("n_t").between(min_support, most))
            .select(F.col("t").alias("nt"), "n_t"))
     words = (held.select("hash", "words").join(near, F.col("hash") == F.col("nh"))
-             .select("near", F.explode("words").alias("t")).where(F.length("t") >= min_chars))
+             .select("near", F.explode("words").alias("t")))
     pairs = (words.join(n_t, F.col("t") == F.col("nt"))
              .select("t", "n_t", F.explode(F.filter("near", lambda x: x.n_e >= min_share * F.col("n_t"))).alias("x")))
     joint = pairs.groupBy("t", "n_t", "x").agg(F.count(F.lit(1)).alias("n_te"))
