@@ -6,6 +6,8 @@ priority queue of branches by closeness and lists leaves in that order.  How man
 calibrated on the sample: visits widen until the queries of a calibration set reach
 ``recall``, and for each query further until its leaves hold enough rows.  The tree has a
 bounded number of leaves, so what goes to the tasks (centres, leaf sizes) is bounded as well.
+Every vector length with more than ``LEAF`` sampled vectors has a tree of its own; queries of a
+rarer length meet all rows of that length, in blocks, so their result is exact.
 
 Equal rows become one before anything is counted, and the k best are cut over ids, not rows.
 Queries and rows meet on (leaf, block): leaves are cut into blocks of about ``BLOCK`` rows, and
@@ -14,8 +16,8 @@ is many small groups.  A group sends on at most k rows per query, ties resolved
 exact scores.  Scores are cosines of the original vectors in double precision.
 
 Defined cases: vectors null, empty, zero or with null or non-finite components take no part, nor do
-rows without vec_id; vectors of another length than most of the sample take no part; a vec_id that
-repeats counts once, with its best score, and is no candidate of its own query; an empty table
+rows without vec_id; a cosine needs two vectors of one length, so a query is held against the rows
+of its length; a vec_id that repeats counts once, with its best score, and is no candidate of its own query; an empty table
 gives an empty result; extra columns are ignored.
 """
 
@@ -23,12 +25,12 @@ from __future__ import annotations
 
 import heapq
 import sys
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -115,6 +117,18 @@ def calibrate(tree: Tree, x: np.ndarray, ids: np.ndarray, k: int, recall: float
     return int(np.quantile(need, recall, method="higher")) if need else 1
 
 
+def by_length(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All numbers of a list column, and where each row's begin and how many they are."""
+    size = pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int64)
+    return vectors.flatten().to_numpy(zero_copy_only=False), np.cumsum(size) - size, size
+
+
+def of_length(numbers: np.ndarray, begin: np.ndarray, size: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a length, and their vectors as a matrix."""
+    rows = np.flatnonzero(size == dim)
+    return rows, numbers[begin[rows][:, None] + np.arange(dim)]
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, e): doubles, without null, zero or non-finite vectors."""
     e = F.col("embedding").cast("array<double>")
@@ -125,64 +139,80 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each vec_id divisible by ``every``."""
-    spark = vectors.sparkSession
     rows = usable(vectors).dropDuplicates()
-    got = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id", "e").limit(sample).collect()  # bounded
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not got:
-        return spark.createDataFrame([], schema)
-    dim = Counter(len(r.e) for r in got).most_common(1)[0][0]
-    x = unit(np.array([r.e for r in got if len(r.e) == dim]))
-    tree = Tree(x)
-    visits = calibrate(tree, x, np.array([r.vec_id for r in got if len(r.e) == dim]), k)
+    got = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id", "e").limit(sample).toArrow()  # 8 bytes a number, bounded
+    ids, held = got.column("vec_id").to_numpy(), by_length(got.column("e").combine_chunks())
+    trees, first, visits, leaves = {}, {}, {}, 0
+    for dim, n in zip(*np.unique(held[2], return_counts=True)):
+        if n > LEAF:
+            some, x = of_length(*held, dim)
+            tree = Tree(unit(x))
+            trees[int(dim)], first[int(dim)], visits[int(dim)] = tree, leaves, calibrate(tree, unit(x), ids[some], k)
+            leaves += tree.leaves
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            e = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tree.leaf_of(unit(e))), pa.array([v.tobytes() for v in e], pa.binary())],
+            numbers, begin, size = by_length(b.column(1))
+            leaf = -size.astype(np.int32)  # of a length without a tree
+            for dim in np.unique(size).tolist():
+                if dim in trees:
+                    some, x = of_length(numbers, begin, size, dim)
+                    leaf[some] = first[dim] + trees[dim].leaf_of(unit(x))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(leaf), pa.array([numbers[p:p + n].tobytes() for p, n in zip(begin, size)], pa.binary())],
                                              names=["vec_id", "leaf", "e"])
 
-    placed = rows.where(F.size("e") == dim).mapInArrow(assign, "vec_id long, leaf int, e binary").checkpoint(eager=True)
-    held = {r.leaf: r["count"] for r in placed.groupBy("leaf").count().collect()}  # one row per leaf
-    sizes = [held.get(i, 0) for i in range(tree.leaves)]
+    placed = rows.mapInArrow(assign, "vec_id long, leaf int, e binary").checkpoint(eager=True)
+    held = {r.leaf: r["count"] for r in placed.where("leaf >= 0").groupBy("leaf").count().collect()}  # one row per leaf
+    sizes = [held.get(i, 0) for i in range(leaves)]
     # an id with several vectors counts in the first of its leaves only: no id is seen twice
-    own = placed.groupBy("vec_id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").count()
+    own = placed.groupBy("vec_id").agg(F.min("leaf").alias("leaf")).where("leaf >= 0").groupBy("leaf").count()
     ids_in = {r.leaf: r["count"] for r in own.collect()}
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, leaves, es = [], [], []
+            out = []
             for q, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                seen = 0
-                for n, leaf in enumerate(tree.visit(unit(np.frombuffer(data)))):
-                    if n >= visits and seen > k:  # k ids besides the query's
+                dim, seen = len(data) // 8, 0
+                if dim not in trees:
+                    out.append((q, -dim, data))
+                    continue
+                for n, here in enumerate(trees[dim].visit(unit(np.frombuffer(data)))):
+                    if n >= visits[dim] and seen > k:  # k ids besides the query's
                         break
+                    leaf = first[dim] + here
                     if sizes[leaf]:
                         seen += ids_in.get(leaf, 0)
-                        ids.append(q)
-                        leaves.append(leaf)
-                        es.append(data)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(leaves, pa.int32()), pa.array(es, pa.binary())],
+                        out.append((q, leaf, data))
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], kind) for c, kind in enumerate((pa.int64(), pa.int32(), pa.binary()))],
                                              names=["query_id", "leaf", "qe"])
 
     asked = (placed.where(F.col("vec_id") % every == 0).select("vec_id", "e").dropDuplicates()
              .mapInArrow(ask, "query_id long, leaf int, qe binary").checkpoint(eager=True))
-    asks = {r.leaf: r["count"] for r in asked.groupBy("leaf").count().collect()}  # one row per leaf
-    blocks = F.array(*[F.lit(-(-max(1, n) // BLOCK)) for n in sizes])
-    rounds = F.array(*[F.lit(-(-max(1, asks.get(i, 0)) // BLOCK)) for i in range(tree.leaves)])
+    asks = {r.leaf: r["count"] for r in asked.where("leaf >= 0").groupBy("leaf").count().collect()}  # one row per leaf
+
+    def in_tree(table: DataFrame) -> DataFrame:
+        if not leaves:
+            return table.where("false").withColumns({"blocks": F.lit(1), "rounds": F.lit(1)})
+        of = lambda some: F.element_at(F.array(*[F.lit(-(-max(1, n) // BLOCK)) for n in some]), F.col("leaf") + 1)
+        return table.where("leaf >= 0").withColumns({"blocks": of(sizes), "rounds": of([asks.get(i, 0) for i in range(leaves)])})
 
-    def of(table, name):
-        return F.element_at(table, F.col("leaf") + 1).alias(name)
+    # lengths without a tree: their numbers of blocks stay in a table, there may be many
+    parts = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+    rare = placed.where("leaf < 0").groupBy("leaf").agg(
+        parts(F.count(F.lit(1))).alias("blocks"), parts(F.count_if(F.col("vec_id") % every == 0)).alias("rounds"))
+    some_rare = placed.where("leaf < 0").limit(1).count() > 0
+
+    def sized(table: DataFrame) -> DataFrame:
+        return in_tree(table).unionByName(table.where("leaf < 0").join(rare, "leaf")) if some_rare else in_tree(table)
 
     def each(n):
-        return F.explode(F.sequence(F.lit(0), n - 1))
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def one(key, n):
+        return F.pmod(F.xxhash64(key), F.col(n)).cast("int")
 
-    left = (asked.select("query_id", "leaf", "qe", F.pmod(F.xxhash64("query_id"), of(rounds, "r")).cast("int").alias("j"), each(of(blocks, "b")).alias("i"))
-            .toDF("query_id", "leaf", "qe", "j", "i"))
-    right = (placed.select("vec_id", "leaf", "e", F.pmod(F.xxhash64("vec_id"), of(blocks, "b")).cast("int").alias("i"), each(of(rounds, "r")).alias("j"))
-             .toDF("vec_id", "leaf", "e", "i", "j"))
+    left = sized(asked).select("query_id", "leaf", "qe", one("query_id", "rounds").alias("j"), each("blocks").alias("i"))
+    right = sized(placed).select("vec_id", "leaf", "e", one("vec_id", "blocks").alias("i"), each("rounds").alias("j"))
 
     def meet(queries: pd.DataFrame, rows_: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, float]] = []
