@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_group_of_profile, avg_int1, money
+from ..schema import AGE_MAX, AGE_MIN
 
 DEMOGRAPHIC_KEYS = ["AgeGroup", "BloodType", "MedicalCondition", "Medication"]
 RANKING_KEYS = DEMOGRAPHIC_KEYS + ["InsuranceProvider"]
@@ -100,3 +101,24 @@ def unmatched_profiles(ranking: DataFrame, profiles: DataFrame) -> DataFrame:
         F.col("MedicalCondition").alias("condition"), F.col("Medication").alias("medication"))
     keys = ["age_group", "blood_type", "condition", "medication"]
     return p.join(r.distinct(), keys, "left_anti").select("profile_id", "age", *keys)
+
+
+def _wanted_bands(stored: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The rows of a ranking stored in one folder per age band whose band a profile asks for.
+
+    The bands asked for are at most as many as there are bands (``schema.AGE_BANDS`` and the oldest),
+    which bounds the broadcast; the scan takes them as a dynamic partition filter, so folders of
+    other bands are not read, however many profiles there are."""
+    bands = (profiles.where(F.col("age").between(AGE_MIN, AGE_MAX))
+             .select(age_group_of_profile("age").alias("_band")).distinct())
+    return stored.join(F.broadcast(bands), F.col("AgeGroup") == F.col("_band"), "left_semi")
+
+
+def recommend_stored(stored: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``recommend`` over a stored ranking, reading the age bands of the profiles only."""
+    return recommend(_wanted_bands(stored, profiles), profiles)
+
+
+def unmatched_profiles_stored(stored: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``unmatched_profiles`` over a stored ranking; profiles without a band match nothing either way."""
+    return unmatched_profiles(_wanted_bands(stored, profiles), profiles)

@@ -52,6 +52,6 @@ def run_load(spark: SparkSession, csv_path: str, out_root: str,
         dims = model.extend_dimensions({n: last.read(spark, n) for n in ["Patient", *model.NAME_DIMENSIONS]}, stg)
     dims = {name: load.write(name, rows) for name, rows in dims.items()}
     load.write("Admission", model.build_fact(stg, dims))
-    load.write("ranking", ranking.cheapest_insurer(enriched(stg)))
+    load.write("ranking", ranking.cheapest_insurer(enriched(stg)), "AgeGroup")  # a lookup reads the bands it needs
     load.commit()
     return summary

@@ -72,7 +72,8 @@ import uuid  # noqa: E402
 
 from ..operators import validate as val  # noqa: E402
 from ..session import ensure_checkpoint_dir  # noqa: E402
-from ..sources import files  # noqa: E402
+from ..schema import CSV_TO_TYPED  # noqa: E402
+from ..sources import files, snapshots  # noqa: E402
 from ..sources.adapter import claims_raw  # noqa: E402
 
 
@@ -109,9 +110,38 @@ def _csv_reject_summary(s, d):
     files.write_raw_csv(claims_raw(s, d), path)
     return val.reject_summary(val.validate(files.read_numbered_csv(s, path), record_col="line"))
 
-# -- star schema ----------------------------------------------------------
+
 from ..operators import model  # noqa: E402
 
+
+@register("q_strict_admission_distinct")
+def _strict_admission_distinct(s, d):
+    """The legacy load: the claims as CSV, read strictly (typed, the first bad field stops it)."""
+    path = f"{_shared_folder(s)}/strict-{uuid.uuid4().hex[:12]}"
+    c = _claims(s, d)
+    files.write_raw_csv(c.select(*[F.col(t).cast("string").alias(h) for h, t in CSV_TO_TYPED.items()]), path)
+    return model.admission_distinct(files.read_strict(s, path)).withColumn(
+        "BillingAmount", F.col("BillingAmount").cast("double"))
+
+
+# -- the ranking as a load stores it --------------------------------------
+def _stored_ranking(s, d):
+    """Written as the ``ranking`` of a load and read through its commit."""
+    root = f"{_shared_folder(s)}/ranking-{uuid.uuid4().hex[:12]}"
+    load = snapshots.begin(s, root)
+    load.write("ranking", ranking_table(s, d), "AgeGroup")
+    load.commit()
+    return snapshots.current(s, root).read(s, "ranking")
+
+
+register("q_ranking_stored")(lambda s, d: _stored_ranking(s, d).select(*ranking_table(s, d).columns))
+register("q_recommend_stored")(lambda s, d: ranking.recommend_stored(_stored_ranking(s, d), profiles(s, d)))
+register("q_recommend_unmatched_stored")(
+    lambda s, d: ranking.unmatched_profiles_stored(_stored_ranking(s, d), profiles(s, d)))
+
+
+# -- star schema ----------------------------------------------------------
+
 for _dim, (_key, _src) in model.NAME_DIMENSIONS.items():
     _qname = {"Doctor": "q_dim_doctor", "Hospital": "q_dim_hospital",
               "InsuranceProvider": "q_dim_insurer", "Medication": "q_dim_medication"}[_dim]

@@ -88,3 +88,5 @@ SELECT 'PatientID' AS fk, COUNT(*) FILTER (WHERE PatientID NOT IN (
   ON p.Name = e.Name AND p.Age = e.Age AND p.Gender = e.Gender AND p.BloodType = e.BloodType)) AS orphans FROM fact""",
     _unseen("DoctorID", "d_doctor", "Doctor"), _unseen("HospitalID", "d_hospital", "Hospital"),
     _unseen("InsuranceID", "d_insurer", "InsuranceProvider"), _unseen("MedicationID", "d_medication", "Medication")])
+
+ORACLE["q_strict_admission_distinct"] = ORACLE["q_admission_distinct"]  # the same rows, through CSV

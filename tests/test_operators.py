@@ -134,3 +134,28 @@ def test_recommend_hits_ties_and_misses(spark):
     assert sorted((h.profile_id, h.insurer, h.rank) for h in hits) == [(1, "I1", 1), (1, "I2", 1)]
     misses = ranking.unmatched_profiles(r, profiles).collect()
     assert sorted((m.profile_id, m.age_group) for m in misses) == [(2, "0-1"), (3, "31-45")]
+
+
+def test_stored_lookup_reads_only_the_bands_asked_for(spark, tmp_dir):
+    """The scan of a stored ranking is pruned at run time by the profiles' age bands."""
+    from pyspark.sql import functions as F
+
+    from carelens.operators import ranking
+
+    bands = ["0-1", "19-30", "31-45", "61-80", "81+", "Unknown"]
+    rows = [(b, "O+", "Asthma", "Aspirin", f"I{k}", 10.0 * k, 1.0, 99.0, 3, 1) for b in bands for k in (2, 1)]
+    path = f"{tmp_dir}/ranking"
+    spark.createDataFrame(rows, "AgeGroup string, BloodType string, MedicalCondition string, Medication string, InsuranceProvider string, "
+                          "AvgBillingAmount double, MinBillingAmount double, MaxBillingAmount double, ClaimCount long, ProviderRank long"
+                          ).write.partitionBy("AgeGroup").parquet(path)
+    asked = [(1, 25, "O+", "Asthma"), (2, 40, "O+", "Gout"), (3, None, "O+", "Asthma"), (4, -5, "O+", "Asthma"), (5, 200, "O+", "Asthma"), (6, 150, "O+", "Asthma")]
+    spark.createDataFrame([(*a, "Aspirin") for a in asked], "profile_id long, age int, blood_type string, condition string, medication string").write.parquet(f"{tmp_dir}/p")
+    p = spark.read.parquet(f"{tmp_dir}/p")
+    got = ranking.recommend_stored(spark.read.parquet(path), p)
+    assert [(r.profile_id, r.age_group, r.insurer) for r in got.collect()] == [
+        (1, "19-30", "I1"), (1, "19-30", "I2"), (6, "81+", "I1"), (6, "81+", "I2")]
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    none = ranking.unmatched_profiles_stored(spark.read.parquet(path), p)
+    assert sorted(r.profile_id for r in none.collect()) == [2, 3, 4, 5]
+    read = ranking._wanted_bands(spark.read.parquet(path), p)
+    assert {r.AgeGroup for r in read.collect()} == {"19-30", "31-45", "81+"}
