@@ -9,7 +9,8 @@ owner, hash of the run's bytes, place.  Rows with equal hashes are equal runs; a
 Copies within one batch of documents are settled in the task (a combine before the shuffle), so
 that a passage of a third of all documents sends one row per batch.
 
-What is left are edges: first runs whose owner also has other runs.  Only their bytes (up to
+What is left are edges: first runs whose owner also has other runs (owners are counted on the map
+side and joined back, so no task holds all runs of one).  Only their bytes (up to
 168) are fetched and meet by owner, in suffix order: prefix doubling ranks all suffixes by
 their first 100 bytes, and the longest previous factor of a window reaches 100 exactly if its
 previous smaller position in suffix order - ties standing by position - shares that rank.  A
