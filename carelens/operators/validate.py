@@ -54,12 +54,25 @@ def _typed(raw: DataFrame) -> dict[str, Column]:
     }
 
 
+def _prefix(line: Column) -> Column:
+    """'Line n: ', made by a lambda on purpose.  Spark compiles a projection that holds one as many small
+    methods; merged with the scan or join below it would be a single one, beyond what the JVM compiles."""
+    return F.get(F.transform(F.array(line), lambda n: F.concat(F.lit("Line "), n, F.lit(": "))), F.lit(0))
+
+
+def _message(cond: Column, *parts) -> Column:
+    """An array of one message, or none.  The arrays are put together by ``concat``: a lambda that
+    filters NULLs out of an array has Spark interpret every expression in that array, row by row."""
+    text = F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    return F.when(cond, F.array(text)).otherwise(F.array().cast("array<string>"))
+
+
 def _rules_full(raw: DataFrame, t: dict[str, Column], line: Column) -> list[Column]:
     r = {c: F.col(f"`{c}`") for c in EXPECTED_COLUMNS}
-    pre = F.concat(F.lit("Line "), line, F.lit(": "))
+    pre = _prefix(line)
 
     def msg(cond: Column, *parts) -> Column:
-        return F.when(cond, F.concat(pre, *[p if isinstance(p, Column) else F.lit(p) for p in parts]))
+        return _message(cond, pre, *parts)
 
     def domain(col: str, values, label: str) -> Column:
         v = t[col]
@@ -91,14 +104,14 @@ def _rules_full(raw: DataFrame, t: dict[str, Column], line: Column) -> list[Colu
 def _rules_types(raw: DataFrame, t: dict[str, Column], line: Column) -> list[Column]:
     """Permissive load: only the first failing number conversion (age, billing, room)."""
     r = {c: F.col(f"`{c}`") for c in EXPECTED_COLUMNS}
-    pre = F.concat(F.lit("Line "), line, F.lit(": "))
+    pre = _prefix(line)
     first = (F.when(t["Age"].isNull(),
                     F.concat(pre, F.lit("invalid literal for int() with base 10: "), _q(r["Age"])))
               .when(t["BillingAmount"].isNull(),
                     F.concat(pre, F.lit("could not convert string to float: "), _q(r["Billing Amount"])))
               .when(t["RoomNumber"].isNull(),
                     F.concat(pre, F.lit("invalid literal for int() with base 10: "), _q(r["Room Number"]))))
-    return [first]
+    return [_message(t["Age"].isNull() | t["BillingAmount"].isNull() | t["RoomNumber"].isNull(), first)]
 
 
 def validate(raw: DataFrame, level: str = "full", record_col: str = "claim_id") -> DataFrame:
@@ -118,7 +131,7 @@ def validate(raw: DataFrame, level: str = "full", record_col: str = "claim_id")
     tc = {c: F.col(f"__{c}") for c in TYPED_COLUMNS}
     line = F.col(record_col).cast("string")
     rules = _rules_full(typed, tc, line) if level == "full" else _rules_types(typed, tc, line)
-    errors = F.filter(F.array(*rules), lambda e: e.isNotNull())
+    errors = F.concat(*rules)
     return typed.select(F.col(record_col), *[tc[c].alias(c) for c in TYPED_COLUMNS],
                         errors.alias("errors"))
 
@@ -126,10 +139,17 @@ def validate(raw: DataFrame, level: str = "full", record_col: str = "claim_id")
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted rows without ``errors``, rejected rows with them)."""
     ok = validated.filter(F.size("errors") == 0).drop("errors")
-    bad = validated.filter(F.size("errors") > 0)
+    bad = _once(validated).filter(F.size("errors") > 0).select(*validated.columns)
     return ok, bad
 
 
+def _once(validated: DataFrame) -> DataFrame:
+    """The same rows; a filter on ``errors`` above reads them as they are.  Otherwise Catalyst moves it
+    below the projection that makes the messages, and every row's are made for the filter and again for
+    the output (three times below an ``explode``).  No filter passes a generator of its column."""
+    return validated.withColumnRenamed("errors", "__errors").select("*", F.explode_outer(F.array("__errors")).alias("errors")).drop("__errors")
+
+
 def reject_summary(validated: DataFrame) -> DataFrame:
     """One row: rows read, valid, rejected, total number of error messages."""
     n_err = F.size("errors")
@@ -142,7 +162,8 @@ def reject_summary(validated: DataFrame) -> DataFrame:
 
 def first_errors(validated: DataFrame, n: int = 10, record_col: str = "claim_id") -> DataFrame:
     """The first ``n`` messages in record order (a top-n report, not a sample)."""
-    e = validated.select(record_col, F.posexplode("errors").alias("pos", "message"))
+    # outer, so that no filter on errors is put below the messages' projection
+    e = validated.select(record_col, F.posexplode_outer("errors").alias("pos", "message")).where(F.col("message").isNotNull())
     number = F.col(record_col).try_cast("long")  # line numbers count as numbers, other keys as text
     return e.orderBy(number.asc_nulls_last(), record_col, "pos", "message").limit(n)
 

@@ -198,3 +198,35 @@ def test_strip_matches_python_strip(spark):
     vals = [" Jane ", "Émile", "  Bob\t", "x", "", "　Zoë ", " \x01a ", " b ", "\n"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     assert [r[0] for r in df.select(strip_ws("v")).collect()] == [v.strip() for v in vals]
+
+
+def _messages_in_plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Negative billing amount")
+
+
+def test_messages_are_compiled_and_in_methods_the_jvm_compiles(spark, raw_rows):
+    import re
+    df = val.validate(raw_rows({}, {"Age": "151", "Gender": "x"}))
+    # a lambda over the messages would have all of them interpreted
+    assert "filter(array(" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+    code = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    assert all(int(n) <= 8000 for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
+    assert [r.errors for r in df.orderBy("claim_id").collect()] == [
+        [], ["Line 3: Age 151 out of range 0-150", "Line 3: Invalid gender 'x'"]]
+    odd = val.validate(raw_rows({"Room Number": "x", "Billing Amount": "y"}, {"Age": None}, {}), level="types")
+    assert [r.errors for r in odd.orderBy("claim_id").collect()] == [
+        ["Line 2: could not convert string to float: 'y'"],
+        ["Line 3: invalid literal for int() with base 10: 'None'"], []]
+
+
+def test_messages_of_rejects_are_made_once(raw_rows):
+    bad = val.split(val.validate(raw_rows({}, {"Age": "-1", "Billing Amount": "-5"})))[1]
+    assert _messages_in_plan(bad) == 1
+    assert [(r.claim_id, len(r.errors)) for r in bad.collect()] == [("3", 2)]
+
+
+def test_messages_of_the_first_errors_are_made_once(raw_rows):
+    first = val.first_errors(val.validate(raw_rows({}, {"Age": "-1", "Billing Amount": "-5"}, {"Gender": "x"})), 2)
+    assert _messages_in_plan(first) == 1
+    assert [(r.claim_id, r.pos, r.message) for r in first.collect()] == [
+        ("3", 0, "Line 3: Age -1 out of range 0-150"), ("3", 1, "Line 3: Negative billing amount -5.0")]
