@@ -47,6 +47,15 @@ def _axis(value: str, kind: str) -> str:
     return f"CASE WHEN isnan({x}) THEN CAST('Infinity' AS DOUBLE) ELSE {x} END" if kind in ("double", "float") else x
 
 
+def sized(groups: DataFrame) -> DataFrame:
+    """A row per group, persisted and counted, so that the planner knows its size and joins it to the rows
+    by broadcast if it is small.  Otherwise it takes both sides for large and shuffles the rows by group -
+    a handful of groups is a handful of tasks, and AQE keeps it so where most partitions are empty."""
+    groups = groups.persist(StorageLevel.MEMORY_AND_DISK)
+    groups.count()
+    return groups
+
+
 class Banded:
     """The outcome of the two passes over ``df`` for some wanted ranks of ``value_col`` per group.
 
@@ -93,8 +102,8 @@ class Banded:
                 .selectExpr("*", f"array_sort(filter(array({bands}), b -> b.lo IS NOT NULL AND b.hi IS NOT NULL)) AS _bands").drop("_grid")
                 .selectExpr("*", "_bands.lo AS _begin", f"transform(sequence(1, {len(every)}), i -> array_max(slice(_bands.hi, 1, i))) AS _end")
                 .drop("_bands").checkpoint(eager=True))
-        side = prefixed(wide.selectExpr(*self.keys, *[f"get(_begin, {i}) AS b{i}" for i in range(len(every))],
-                                        *[f"get(_end, {i}) AS e{i}" for i in range(len(every))]), "_s")
+        side = sized(prefixed(wide.selectExpr(*self.keys, *[f"get(_begin, {i}) AS b{i}" for i in range(len(every))],
+                                              *[f"get(_end, {i}) AS e{i}" for i in range(len(every))]), "_s"))
         data = rows.where("value IS NOT NULL").selectExpr("*", f"{_axis('value', self.kind)} AS _x")
         begun = " + ".join(f"CASE WHEN _x >= _sb{i} THEN 1 ELSE 0 END" for i in range(len(every)))
         end = " ".join(f"WHEN _x >= _sb{i} THEN _se{i}" for i in reversed(range(len(every))))
@@ -103,19 +112,20 @@ class Banded:
                 .selectExpr(*self.keys, "_v", "r", "inside", "CASE WHEN inside THEN _v END AS value"))
         self.cells = cell.groupBy(*self.groups, "r", "inside", "value").agg(
             F.count(F.lit(1)).alias(CNT), F.min("_v").alias("least"), F.max("_v").alias("most")).checkpoint(eager=True)
+        side.unpersist()
         # rows outside the bands by r (at most a row per band), to turn ranks into ranks among the band values
         outside = prefixed(self.cells.where("NOT inside").groupBy(*self.groups).agg(F.collect_list(F.struct("r", F.col(CNT).alias("rows"))).alias("rows")), "_o")
         whole = wide.join(outside, equal_by(wide, outside, self.groups, "_o"), "left")
         inner = [f"_k{i} - _nulls - aggregate(coalesce(_orows, cast(array() as array<struct<r:int,rows:bigint>>)), 0L, (s, o) -> "
                  f"s + CASE WHEN o.r <= size(filter(_begin, b -> b < _lo{i})) THEN o.rows ELSE 0L END) AS _i{i}" for i in index]
         self.wide = whole.selectExpr(*self.keys, "_n", "_nulls", *[f"_{c}{i}" for c in ("k", "lo", "hi") for i in index], *inner)
-        self.found = self._found().checkpoint(eager=True)
+        self.found = self._found()
 
     def _found(self) -> DataFrame:
         """group, target, k, n, value, and whether the value is ``real`` (lies in its band)."""
         placed = ranged(self.cells.where("inside").select(*self.groups, "value", CNT), [*self.groups, "value"])
         counted = with_cumulative(placed, partition_offsets(placed, self.groups), self.groups, ["value"])
-        wanted = prefixed(self.wide, "_w")  # a row per group beside the band values
+        wanted = sized(prefixed(self.wide, "_w"))  # a row per group beside the band values
         met = counted.join(wanted, equal_by(counted, wanted, self.groups, "_w"))
         hit = [f"(cum_before < _w_i{i} AND _w_i{i} <= cum_incl)" for i in range(len(self.names))]
         hits = ", ".join(f"CASE WHEN {h} THEN struct('{name}' AS target, _w_k{i} AS k, coalesce(_x >= _w_lo{i} AND _x <= _w_hi{i}, false) AS real) END"
@@ -127,7 +137,9 @@ class Banded:
         kind = self.cells.schema["value"].dataType.simpleString()
         none = (self.wide.where("_nulls > 0").selectExpr(*self.keys, "_n AS n", f"explode(filter(array({nulls}), t -> t IS NOT NULL)) AS t")
                 .selectExpr(*self.keys, "t.target", "t.k", "n", f"CAST(NULL AS {kind}) AS value", "true AS real"))
-        return real.union(none)
+        found = real.union(none).checkpoint(eager=True)
+        wanted.unpersist()
+        return found
 
     def _complete(self) -> bool:
         """Whether every wanted rank has its value, in its band.  Such a value is right: no row outside
@@ -193,10 +205,12 @@ def boxes(df: DataFrame, key: str, value_col: str, ps: Sequence[tuple[str, str]]
     made = Banded(df.where(F.col(value_col).isNotNull()), [key], value_col, _quantile_targets(ps), fences=fences)
     q = _interpolated(made.found, [key], ps).withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.selectExpr("*", f"q1 - {reach}BD * iqr AS _below", f"q3 + {reach}BD * iqr AS _above")
-    cells = prefixed(made.cells, "_c")
+    q, cells = sized(q), prefixed(made.cells, "_c")
     j = q.join(cells, equal_by(q, cells, [key], "_c"))
     # a cell outside the bands lies wholly on one side of each fence
-    return j.groupBy(*q.columns).agg(
+    out = j.groupBy(*q.columns).agg(
         F.expr("least(min(CASE WHEN _cleast >= _below THEN _cleast END), q1)").alias("whislo"),
         F.expr("greatest(max(CASE WHEN _cmost <= _above THEN _cmost END), q3)").alias("whishi"),
-        F.expr(f"CAST(coalesce(sum(CASE WHEN _cmost < _below OR _cleast > _above THEN _c{CNT} END), 0) AS BIGINT)").alias("fliers")).drop("_below", "_above")
+        F.expr(f"CAST(coalesce(sum(CASE WHEN _cmost < _below OR _cleast > _above THEN _c{CNT} END), 0) AS BIGINT)").alias("fliers")).drop("_below", "_above").checkpoint(eager=True)
+    q.unpersist()
+    return out

@@ -67,3 +67,19 @@ def test_only_band_values_are_kept(spark):
     df = spark.range(200_000).select(F.lit("a").alias("g"), F.xxhash64("id").alias("x"))
     made = q.Banded(df, ["g"], "x", lambda n: [("m", F.floor(n / 2))])
     assert made.cells.count() < 200_000 * 0.03
+
+
+def test_rows_meet_their_group_without_a_shuffle_by_group(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    plans, checkpoint = [], DataFrame.checkpoint
+
+    def recorded(df, eager=True):
+        if "least" in df.columns:  # counts of the rows by band
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return checkpoint(df, eager)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", recorded)
+    df = spark.createDataFrame([("a" if i % 3 else "b", Decimal(i)) for i in range(300)], "g string, x decimal(18,4)")
+    got = {r.g: r.p for r in q.quantiles(df, ["g"], "x", [("p", "0.5")]).collect()}
+    assert got == {"a": Decimal("149.5"), "b": Decimal("148.5")}
+    assert plans and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
