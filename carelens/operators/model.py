@@ -115,12 +115,15 @@ def build_fact(claims: DataFrame, dims: dict[str, DataFrame], with_id: bool = Tr
     """Admission fact: staging inner-joined to the five dimensions.
 
     Patient is matched on four columns (equality, so a NULL key drops the row, as in
-    SQL).  The planner picks each join from the dimension's size, estimated or (AQE) measured,
-    and splits skewed keys.  Nothing here assumes a dimension is small.
+    SQL).  The name dimensions come first, so what the later shuffles carry are keys, no names; the
+    planner picks their joins from their sizes.  Patients grow with the claims: their join is a merge
+    join at any size (never a broadcast), whose skewed keys AQE splits.
     """
-    f = claims.join(dims["Patient"], PATIENT_KEYS, "inner")
-    for name, (key, src) in NAME_DIMENSIONS.items():
-        f = f.join(dims[name].withColumnRenamed("Name", src), src, "inner")
+    f = claims
+    for name in ("Hospital", "InsuranceProvider", "Medication", "Doctor"):
+        key, src = NAME_DIMENSIONS[name]
+        f = f.join(dims[name].withColumnRenamed("Name", src), src, "inner").drop(src)
+    f = f.join(dims["Patient"].hint("merge"), PATIENT_KEYS, "inner")
     fact = f.select("PatientID", "DoctorID", "HospitalID", "InsuranceID", "MedicationID", *FACT_ATTRS)
     if not with_id:
         return fact

@@ -10,7 +10,7 @@ unused column at the parquet scan and picks the join strategy per side:
 * customer, part and supplier also grow with the scale factor; we let the
   planner choose from their statistics (broadcast below
   ``spark.sql.autoBroadcastJoinThreshold``, shuffle otherwise);
-* nation is a fixed 25-row table and is broadcast to the supplier side.
+* nation is a fixed 25-row table and is broadcast.
 """
 
 from __future__ import annotations
@@ -74,13 +74,15 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    su = (table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-          .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
+    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     # orders meet customers first: lineitem is then shuffled once, on the order key
     oc = od.join(cu, F.col("o_custkey") == F.col("c_custkey"))
-    return (li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(pa, F.col("l_partkey") == F.col("p_partkey"))
-              .join(su, F.col("l_suppkey") == F.col("s_suppkey")))
+    # parts come before the orders bring their names and dates, suppliers and nations after the
+    # last shuffle and one by one, so the planner sees the size of each
+    return (li.join(pa, F.col("l_partkey") == F.col("p_partkey"))
+              .join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
+              .join(su, F.col("l_suppkey") == F.col("s_suppkey"))
+              .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
 
 
 def _typed_columns() -> dict[str, Column]:
