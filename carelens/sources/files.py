@@ -61,15 +61,18 @@ def read_numbered_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", c
     """As ``read_raw_csv`` with the number of every record in its file (the first after the header is 2),
     and with records whose quoted fields hold line ends, in files that are split all the same.
 
+    The files are read once for the numbers, and again by whatever reads the result; their texts are not stored.
     With ``check`` one job compares the first record of every file and names the file that differs."""
-    found = records.split_records(records.lines(spark, path, encoding)).checkpoint(eager=True)
-    made = records.fields(found, EXPECTED_COLUMNS, CORRUPT)
+    found = records.lines(spark, path, encoding)
+    splits = records.split_table(found)
     if check:
         differs = " OR ".join(f"NOT (trim(`{c}`) <=> '{c}')" for c in EXPECTED_COLUMNS)
-        wrong = made.where("number = 1").where(f"{differs} OR `{CORRUPT}` IS NOT NULL").orderBy("file").limit(1).collect()
+        first = records.fields(records.first_records(found, splits), EXPECTED_COLUMNS, CORRUPT)
+        wrong = first.where(f"{differs} OR `{CORRUPT}` IS NOT NULL").orderBy("file").limit(1).collect()
         if wrong:
             raise ValueError(f"CSV columns of {wrong[0]['file']} don't match expected schema.\n  Expected: {EXPECTED_COLUMNS}\n"
                              f"  Got:      {wrong[0][CORRUPT] or [wrong[0][c] for c in EXPECTED_COLUMNS]}")
+    made = records.fields(records.split_records(found, splits), EXPECTED_COLUMNS, CORRUPT)
     return whole_rows(made.where("number > 1").drop("file").withColumnRenamed("number", name), carry=[name])
 
 
