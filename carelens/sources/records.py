@@ -69,7 +69,7 @@ def split_records(found: DataFrame, splits: DataFrame | None = None) -> DataFram
     """(file, number, record): the records of every file, numbered from 1 (the header); blank lines are none.
 
     ``found`` are ``lines``, ``splits`` their ``split_table`` or some rows of it.  Reading the result reads the
-    files; one whose lines are no longer as the table has them stops it."""
+    files; a split that no longer has the table's lines and records stops it."""
     splits = split_table(found) if splits is None else splits
     whole = _made(found, splits).where("NOT part").select("file", "number", "record")
     cut = splits.where("opened OR goes_on")
